@@ -23,15 +23,16 @@ DEFAULT_SEED = 42
 BAND_DIGITS = 3
 
 
-def _timed(sessions: DataFrame) -> DataFrame:
-    return sessions.where("start_time is not null")
+def _by_hour(sessions: DataFrame) -> DataFrame:
+    """Sessions with the hour of their start; those without a readable time have none."""
+    return sessions.withColumn("day_hour", day_hour(F.col("start_time"))).where("day_hour is not null")
 
 
 def hour_counts(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Sessions per hour of their start, keyed ``yyyy-MM-dd_HH``."""
     return (
-        _timed(sessions)
-        .groupBy(*by, day_hour(F.col("start_time")).alias("day_hour"))
+        _by_hour(sessions)
+        .groupBy(*by, "day_hour")
         .agg(F.count(F.lit(1)).alias("session_count"))
     )
 
@@ -64,11 +65,11 @@ def sample_sessions(
 ) -> DataFrame:
     """The winners: session_id, start_time, day_hour. At most ``total`` per task."""
     hour = [*by, "day_hour"]
-    tickets = _timed(sessions).select(
-        *by, "session_id", "start_time",
-        day_hour(F.col("start_time")).alias("day_hour"),
-        ticket(seed).alias("ticket"),
-    ).withColumn("band", F.substring("ticket", 1, BAND_DIGITS))
+    tickets = (
+        _by_hour(sessions)
+        .select(*by, "session_id", "start_time", "day_hour", ticket(seed).alias("ticket"))
+        .withColumn("band", F.substring("ticket", 1, BAND_DIGITS))
+    )
 
     bands = tickets.groupBy(*hour, "band").agg(F.count(F.lit(1)).alias("n"))
     hours = bands.groupBy(*hour).agg(F.sum("n").alias("session_count"))

@@ -59,13 +59,14 @@ class ManyTasksPlan:
     def sample(self, sampled: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
         """``rows``: the sampled sessions' actions with their ``task_id``, if already at hand."""
         sampled = self.sampled() if sampled is None else sampled
-        rows = self._rows_of(sampled, []) if rows is None else rows
-        lists = session_lists(rows, ["task_id", "session_id"])
-        return (
-            sampled.join(lists, ["task_id", "session_id"])
-            .withColumn("start_time", format_time(F.col("start_time")))
-            .select(*SAMPLE_COLUMNS)
-        )
+        if rows is None:
+            rows = self._rows_of(sampled, ["start_time"])
+        else:
+            columns = ["task_id", "session_id", "search_keyword", "click_category_id"]
+            chosen = F.broadcast(sampled.select("task_id", "session_id", "start_time"))
+            rows = rows.select(*columns).join(chosen, ["task_id", "session_id"])
+        lists = session_lists(rows, ["task_id", "session_id", "start_time"])
+        return lists.withColumn("start_time", format_time(F.col("start_time"))).select(*SAMPLE_COLUMNS)
 
     def _rows_of(self, chosen: DataFrame, tags: list[str]) -> DataFrame:
         """Actions of a bounded choice (task_id, session_id, tags), each inside its task's dates."""

@@ -63,14 +63,12 @@ class TaskPlan:
         may be any relation that holds all actions of these."""
         sampled = self.sampled() if sampled is None else sampled
         actions = self.actions if actions is None else actions
-        # At most ``total`` ids.
-        ids = F.broadcast(sampled.select("session_id"))
-        lists = session_lists(actions.join(ids, "session_id", "left_semi"))
-        return (
-            sampled.join(lists, "session_id")
-            .withColumn("start_time", format_time(F.col("start_time")))
-            .select(*SAMPLE_COLUMNS)
-        )
+        columns = ["search_keyword", "click_category_id"]
+        # At most ``total`` sampled sessions.
+        chosen = F.broadcast(sampled.select("task_id", "session_id", "start_time"))
+        rows = actions.select("session_id", *columns).join(chosen, "session_id")
+        lists = session_lists(rows, ["task_id", "session_id", "start_time"])
+        return lists.withColumn("start_time", format_time(F.col("start_time"))).select(*SAMPLE_COLUMNS)
 
     def sample_detail(self) -> DataFrame:
         return details_of(self.actions, self.sampled())

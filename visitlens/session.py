@@ -10,6 +10,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even if the aggregation after it then needs its own shuffle:
+    # that shuffle carries map-side combined rows, the unsplit partition would carry them all.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
