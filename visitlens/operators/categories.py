@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.lists import split_ids, to_id
+from visitlens.operators.bounds import broadcast_if
 from visitlens.operators.ranking import first_rows
 
 # Fixed value: how many categories and how many sessions per category are reported.
@@ -103,15 +104,15 @@ def top_categories(totals: DataFrame, n: int = TOP_N, by: Sequence[str] = ()) ->
     return first_rows(totals, order, n, by)
 
 
-def clicks_in_top(per_session: DataFrame, top: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Clicks per (category, session) for the top categories.
-
-    ``top`` has at most N rows per task, so it is always safe to broadcast.
-    """
+def clicks_in_top(
+    per_session: DataFrame, top: DataFrame, n: int = TOP_N, by: Sequence[str] = (), groups: int = 1
+) -> DataFrame:
+    """Clicks per (category, session) for the top categories, of which there are at most ``n`` for
+    each of the ``groups`` values of ``by``."""
     keys = [*by, "category_id"]
     return (
         per_session.where("click_count > 0")
-        .join(F.broadcast(top.select(*keys)), keys, "left_semi")
+        .join(broadcast_if(top.select(*keys), n * groups), keys, "left_semi")
         .select(*by, "category_id", "session_id", "click_count")
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import seconds_between
+from visitlens.operators.bounds import broadcast_if
 from visitlens.operators.categories import COUNTS, only_sessions, session_categories
 from visitlens.operators.scan import actions_between
 from visitlens.operators.users import join_users
@@ -41,10 +42,12 @@ def bounded(actions: DataFrame, tasks: Sequence[Task]) -> tuple[DataFrame, list[
 
 def task_days(spark, tasks: Sequence[Task]) -> DataFrame:
     """(task_id, date) for every day of every task, plus what the task searches for."""
+    rows = sum(max(0, (t.end_date - t.start_date).days + 1) for t in tasks)
     frame = task_frame(spark, tasks).where("start_date <= end_date")
-    return frame.select(
+    days = frame.select(
         "task_id", F.explode(F.sequence("start_date", "end_date")).alias("date"), "keywords", "category_ids"
     )
+    return broadcast_if(days, rows)
 
 
 def _wanted(values) -> list:
@@ -58,8 +61,7 @@ def _hit(have: str, wanted: str):
 
 def task_sessions(spark, actions: DataFrame, users: DataFrame, tasks: Sequence[Task]) -> DataFrame:
     """Filtered sessions of every task: task_id, session_id, user_id, start_time, step_length,
-    visit_length."""
-    actions, tasks = bounded(actions, tasks)
+    visit_length. Takes what :func:`bounded` returns."""
     keywords = _wanted(t.keywords for t in tasks)
     categories = _wanted(t.category_ids for t in tasks)
     # Only values some task asks for are collected, so the arrays are as small as the tasks' lists.
@@ -76,10 +78,8 @@ def task_sessions(spark, actions: DataFrame, users: DataFrame, tasks: Sequence[T
     if not categories:
         session_days = session_days.withColumn("seen_categories", F.array().cast("array<bigint>"))
 
-    # One row per task and day: set by the task list, not by the data.
-    days = F.broadcast(task_days(spark, tasks))
     sessions = (
-        session_days.join(days, "date")
+        session_days.join(task_days(spark, tasks), "date")
         .groupBy("task_id", "session_id")
         .agg(
             F.min("user_id").alias("user_id"),
@@ -92,9 +92,8 @@ def task_sessions(spark, actions: DataFrame, users: DataFrame, tasks: Sequence[T
         .where("keyword_hit and category_hit")
         .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time")))
     )
-    params = F.broadcast(
-        task_frame(spark, tasks).select("task_id", "start_age", "end_age", "professionals", "cities", "task_sex")
-    )
+    params = task_frame(spark, tasks).select("task_id", "start_age", "end_age", "professionals", "cities", "task_sex")
+    params = broadcast_if(params, len(tasks))
     return (
         join_users(sessions, users)
         .join(params, "task_id")
@@ -108,22 +107,19 @@ def task_sessions(spark, actions: DataFrame, users: DataFrame, tasks: Sequence[T
 
 def task_session_categories(spark, actions: DataFrame, sessions: DataFrame, tasks: Sequence[Task]) -> DataFrame:
     """Counts per (task, session, category) for the filtered ``sessions`` of every task."""
-    actions, tasks = bounded(actions, tasks)
     per_day = session_categories(actions, ("session_id", "date"))
-    days = F.broadcast(task_days(spark, tasks).select("task_id", "date"))
     per_session = (
-        per_day.join(days, "date")
+        per_day.join(task_days(spark, tasks), "date")
         .groupBy("task_id", "session_id", "category_id")
         .agg(*[F.sum(c).alias(c) for c in COUNTS])
     )
     return only_sessions(per_session, sessions, BY_TASK)
 
 
-def in_task_range(spark, actions: DataFrame, chosen: DataFrame, tasks: Sequence[Task]) -> tuple[DataFrame, DataFrame]:
-    """For detail rows: actions cut to the span of all tasks, and ``chosen`` with each task's dates.
-
-    The dates travel with the (bounded) choice; :func:`details_in_range` compares them.
-    """
-    actions, tasks = bounded(actions, tasks)
+def rows_of(spark, actions: DataFrame, chosen: DataFrame, at_most: int, tasks: Sequence[Task]) -> DataFrame:
+    """Actions of a bounded choice (task_id, session_id, tags), each inside its task's dates, which
+    travel with the choice."""
     dates = task_frame(spark, tasks).select("task_id", "start_date", "end_date")
-    return actions, chosen.join(F.broadcast(dates), "task_id")
+    dated = chosen.join(broadcast_if(dates, len(tasks)), "task_id")
+    rows = actions.join(broadcast_if(dated, at_most), "session_id")
+    return rows.where("date between start_date and end_date").drop("start_date", "end_date")

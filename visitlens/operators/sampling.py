@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import day_hour
+from visitlens.operators.bounds import broadcast_if
 
 # Fixed value: sessions to sample per task unless asked otherwise.
 DEFAULT_TOTAL = 100
@@ -61,9 +62,11 @@ def ticket(seed: int) -> Column:
 
 
 def sample_sessions(
-    sessions: DataFrame, total: int = DEFAULT_TOTAL, seed: int = DEFAULT_SEED, by: Sequence[str] = ()
+    sessions: DataFrame, total: int = DEFAULT_TOTAL, seed: int = DEFAULT_SEED,
+    by: Sequence[str] = (), groups: int = 1,
 ) -> DataFrame:
-    """The winners: session_id, start_time, day_hour. At most ``total`` per task."""
+    """The winners: session_id, start_time, day_hour. At most ``total`` for each of the ``groups``
+    values of ``by``."""
     hour = [*by, "day_hour"]
     tickets = (
         _by_hour(sessions)
@@ -74,19 +77,20 @@ def sample_sessions(
     bands = tickets.groupBy(*hour, "band").agg(F.count(F.lit(1)).alias("n"))
     hours = bands.groupBy(*hour).agg(F.sum("n").alias("session_count"))
     quotas = hour_quotas(hours, total, by).where("hour_quota > 0").select(*hour, "hour_quota")
-    # An hour in ``quotas`` gives at least one session of ``total``, so it has at most ``total``
-    # rows per task and may be broadcast. So may ``marks``, which has the same rows.
+    # Every hour in ``quotas`` gives at least one session, so there are at most ``total`` of them.
+    # ``marks`` has the same hours.
+    most = total * groups
     up_to_band = F.sum("n").over(Window.partitionBy(*hour).orderBy("band"))
     marks = (
         bands.withColumn("reached", up_to_band)
-        .join(F.broadcast(quotas), hour)
+        .join(broadcast_if(quotas, most), hour)
         .where("reached >= hour_quota")
         .groupBy(*hour)
         .agg(F.min("band").alias("last_band"), F.min("hour_quota").alias("hour_quota"))
     )
     place = F.row_number().over(Window.partitionBy(*hour).orderBy("ticket", "session_id"))
     return (
-        tickets.join(F.broadcast(marks), hour)
+        tickets.join(broadcast_if(marks, most), hour)
         .where("band <= last_band")
         .withColumn("place", place)
         .where("place <= hour_quota")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.operators.bounds import broadcast_if
 from visitlens.operators.ranking import first_rows
 from visitlens.operators.users import attributes
 
@@ -55,11 +56,10 @@ def salted_join_users(
     """Inner join with users on (user, salt), where only heavy users are salted.
 
     Sessions of a heavy user spread over ``salts`` reducers and that user's row is copied there;
-    everybody else has salt 0 and one copy. The heavy users are at most ``hot`` rows, hence broadcast.
+    everybody else has salt 0 and one copy. The heavy users are at most ``hot`` rows.
     """
-    keys = F.broadcast(
-        heavy_keys(sessions, "user_id", "session_id", hot, share).select("user_id", F.lit(True).alias("_hot"))
-    )
+    heavy = heavy_keys(sessions, "user_id", "session_id", hot, share)
+    keys = broadcast_if(heavy.select("user_id", F.lit(True).alias("_hot")), hot)
     spread = F.when(F.col("_hot"), salt_of(F.col("session_id"), salts)).otherwise(0)
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     left = sessions.join(keys, "user_id", "left").withColumn("_salt", spread).drop("_hot")
@@ -76,7 +76,7 @@ def split_join_users(
 
     For sessions already stored or persisted: each half reads them once.
     """
-    keys = F.broadcast(heavy_keys(sessions, "user_id", "session_id", hot, share).select("user_id"))
+    keys = broadcast_if(heavy_keys(sessions, "user_id", "session_id", hot, share).select("user_id"), hot)
     people = attributes(users)
     heavy = sessions.join(keys, "user_id", "left_semi").withColumn("_salt", salt_of(F.col("session_id"), salts))
     heavy_people = people.join(keys, "user_id", "left_semi").withColumn(

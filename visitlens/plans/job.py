@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import parse_time
-from visitlens.operators.details import details_of
 from visitlens.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL
 from visitlens.plans.keep import Kept
 from visitlens.plans.many import ManyTasksPlan
@@ -24,12 +23,13 @@ TOP_CATEGORY, TOP_SESSION = "top10_category", "top10_session"
 
 def run_tasks(
     spark: SparkSession, actions: DataFrame, users: DataFrame, tasks: Sequence[Task], out: str,
-    total: int = DEFAULT_TOTAL, seed: int = DEFAULT_SEED,
+    total: int = DEFAULT_TOTAL, seed: int = DEFAULT_SEED, work_folder: str | None = None,
 ) -> None:
     """Write the five tables under ``out`` for one task or many.
 
     The actions are read three times, each time with only the columns needed: for the sessions, for
-    the category counts, and once for all detail rows. Everything else works on kept results.
+    the category counts, and once for all detail rows. Everything else works on kept results, for
+    which ``work_folder`` (shared by all executors) is used where ``spark.checkpoint.dir`` is unset.
     """
     if len(tasks) == 1:
         plan = TaskPlan(actions, users, tasks[0], total, seed)
@@ -37,7 +37,7 @@ def run_tasks(
         plan = ManyTasksPlan(spark, actions, users, tasks, total, seed)
     ids = [t.task_id for t in tasks]
 
-    with Kept(spark) as kept:
+    with Kept(spark, work_folder) as kept:
         plan.sessions = kept.keep(plan.sessions, "sessions")
         write_by_task(plan.stat(), f"{out}/{STAT}", ids)
         plan.per_session = kept.keep(plan.per_session, "session_categories")
@@ -50,10 +50,7 @@ def run_tasks(
         chosen = _tagged(sampled, "sample", F.lit(None).cast("bigint")).unionByName(
             _tagged(ranked, "top10", F.col("category_id"))
         )
-        if isinstance(plan, TaskPlan):
-            details = details_of(plan.actions, chosen, DETAIL_TAGS)
-        else:
-            details = plan.details(chosen, DETAIL_TAGS)
+        details = plan.details(chosen, DETAIL_TAGS)
         write_by_task(rebalanced(details), f"{out}/{DETAIL}", ids)
 
         # The sampled sessions' actions were just written; their lists come from there.

@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 class Kept:
     """``with Kept(spark) as kept: df = kept.keep(df, 'name')``.
 
-    With ``spark.checkpoint.dir`` set, a kept result is a table in that shared folder: lost
+    With ``spark.checkpoint.dir`` set (or else ``folder`` given), a kept result is a table in that shared folder: lost
     executors cost nothing, readers prune its columns, and the planner knows its size. Without it,
     the result is persisted on the executors, and Spark recomputes what a lost one held. Both end
     with the block.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, folder: str | None = None):
         self._spark = spark
-        root = spark.conf.get("spark.checkpoint.dir", None)
+        root = spark.conf.get("spark.checkpoint.dir", None) or folder
         self._folder = f"{root.rstrip('/')}/visitlens-{uuid.uuid4().hex}" if root else None
         self._persisted: list[DataFrame] = []
 

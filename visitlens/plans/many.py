@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time
-from visitlens.operators.categories import category_totals, clicks_in_top, top_categories, top_sessions
+from visitlens.operators.bounds import broadcast_if
+from visitlens.operators.categories import TOP_N, category_totals, clicks_in_top, top_categories, top_sessions
 from visitlens.operators.details import as_details
-from visitlens.operators.many_tasks import BY_TASK, in_task_range, task_session_categories, task_sessions
+from visitlens.operators.many_tasks import BY_TASK, bounded, rows_of, task_session_categories, task_sessions
 from visitlens.operators.rollup import session_lists
 from visitlens.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL, sample_sessions
 from visitlens.operators.stats import session_shares
@@ -25,9 +26,9 @@ class ManyTasksPlan:
                  total: int = DEFAULT_TOTAL, seed: int = DEFAULT_SEED):
         if len({t.task_id for t in tasks}) != len(tasks):
             raise ValueError("task ids must be distinct")
-        self.spark, self.actions, self.tasks = spark, actions, list(tasks)
-        self.total, self.seed = total, seed
-        self.sessions = task_sessions(spark, actions, users, tasks)
+        self.spark, self.total, self.seed = spark, total, seed
+        self.actions, self.tasks = bounded(actions, tasks)
+        self.sessions = task_sessions(spark, self.actions, users, self.tasks)
         self._per_session: DataFrame | None = None
 
     @property
@@ -54,37 +55,39 @@ class ManyTasksPlan:
         )
 
     def sampled(self) -> DataFrame:
-        return sample_sessions(self.sessions, self.total, self.seed, BY_TASK)
+        return sample_sessions(self.sessions, self.total, self.seed, BY_TASK, len(self.tasks))
 
     def sample(self, sampled: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
         """``rows``: the sampled sessions' actions with their ``task_id``, if already at hand."""
         sampled = self.sampled() if sampled is None else sampled
         if rows is None:
-            rows = self._rows_of(sampled, ["start_time"])
+            rows = self._rows_of(sampled, ["start_time"], self.total)
         else:
             columns = ["task_id", "session_id", "search_keyword", "click_category_id"]
-            chosen = F.broadcast(sampled.select("task_id", "session_id", "start_time"))
+            chosen = sampled.select("task_id", "session_id", "start_time")
+            chosen = broadcast_if(chosen, self.total * len(self.tasks))
             rows = rows.select(*columns).join(chosen, ["task_id", "session_id"])
         lists = session_lists(rows, ["task_id", "session_id", "start_time"])
         return lists.withColumn("start_time", format_time(F.col("start_time"))).select(*SAMPLE_COLUMNS)
 
-    def _rows_of(self, chosen: DataFrame, tags: list[str]) -> DataFrame:
-        """Actions of a bounded choice (task_id, session_id, tags), each inside its task's dates."""
-        actions, dated = in_task_range(self.spark, self.actions, chosen.select("task_id", "session_id", *tags), self.tasks)
-        return actions.join(F.broadcast(dated), "session_id").where("date between start_date and end_date")
-
-    def details(self, chosen: DataFrame, tags: Sequence[str] = ()) -> DataFrame:
-        return as_details(self._rows_of(chosen, list(tags)), list(tags))
+    def _rows_of(self, chosen: DataFrame, tags: list[str], per_task: int) -> DataFrame:
+        chosen = chosen.select("task_id", "session_id", *tags)
+        return rows_of(self.spark, self.actions, chosen, per_task * len(self.tasks), self.tasks)
 
     def sample_detail(self) -> DataFrame:
-        return self.details(self.sampled())
+        return as_details(self._rows_of(self.sampled(), [], self.total))
 
     def top_category(self) -> DataFrame:
         return top_categories(category_totals(self.per_session, BY_TASK), by=BY_TASK).select(*TOP_CATEGORY_COLUMNS)
 
     def top_session(self, top: DataFrame | None = None) -> DataFrame:
         top = self.top_category() if top is None else top
-        return top_sessions(clicks_in_top(self.per_session, top, BY_TASK), by=BY_TASK).select(*TOP_SESSION_COLUMNS)
+        clicks = clicks_in_top(self.per_session, top, by=BY_TASK, groups=len(self.tasks))
+        return top_sessions(clicks, by=BY_TASK).select(*TOP_SESSION_COLUMNS)
 
     def top_session_detail(self) -> DataFrame:
-        return self.details(self.top_session().select("task_id", "session_id", "category_id"), ["category_id"])
+        return as_details(self._rows_of(self.top_session(), ["category_id"], TOP_N * TOP_N), ["category_id"])
+
+    def details(self, chosen: DataFrame, tags: list[str]) -> DataFrame:
+        """Detail rows of sampled and ranked sessions together."""
+        return as_details(self._rows_of(chosen, tags, self.total + TOP_N * TOP_N), tags)

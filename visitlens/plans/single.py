@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time
+from visitlens.operators.bounds import broadcast_if
 from visitlens.operators.categories import (
-    category_totals, clicks_in_top, only_sessions, session_categories, top_categories, top_sessions,
+    TOP_N, category_totals, clicks_in_top, only_sessions, session_categories, top_categories, top_sessions,
 )
 from visitlens.operators.details import details_of
 from visitlens.operators.filters import filter_sessions
@@ -64,14 +65,13 @@ class TaskPlan:
         sampled = self.sampled() if sampled is None else sampled
         actions = self.actions if actions is None else actions
         columns = ["search_keyword", "click_category_id"]
-        # At most ``total`` sampled sessions.
-        chosen = F.broadcast(sampled.select("task_id", "session_id", "start_time"))
+        chosen = broadcast_if(sampled.select("task_id", "session_id", "start_time"), self.total)
         rows = actions.select("session_id", *columns).join(chosen, "session_id")
         lists = session_lists(rows, ["task_id", "session_id", "start_time"])
         return lists.withColumn("start_time", format_time(F.col("start_time"))).select(*SAMPLE_COLUMNS)
 
     def sample_detail(self) -> DataFrame:
-        return details_of(self.actions, self.sampled())
+        return details_of(self.actions, self.sampled(), self.total)
 
     def top_category(self) -> DataFrame:
         return for_task(top_categories(category_totals(self.per_session)), self.task.task_id).select(*TOP_CATEGORY_COLUMNS)
@@ -85,4 +85,8 @@ class TaskPlan:
     def top_session_detail(self) -> DataFrame:
         """A session ranked in several categories comes once for each; ``category_id`` tells which."""
         chosen = self.top_session().select("task_id", "session_id", "category_id")
-        return details_of(self.actions, chosen, ["category_id"])
+        return details_of(self.actions, chosen, TOP_N * TOP_N, ["category_id"])
+
+    def details(self, chosen: DataFrame, tags: list[str]) -> DataFrame:
+        """Detail rows of sampled and ranked sessions together."""
+        return details_of(self.actions, chosen, self.total + TOP_N * TOP_N, tags)

@@ -13,6 +13,9 @@ RUNTIME_CONF = {
     # Split a skewed join partition even if the aggregation after it then needs its own shuffle:
     # that shuffle carries map-side combined rows, the unsplit partition would carry them all.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # When every partition of one join side turns out to be at most this large, hash it instead of
+    # sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 

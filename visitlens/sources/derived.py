@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitlens.operators.bounds import reshuffled
 from visitlens.schemas import ACTION_COLUMNS, TASK_COLUMNS, USER_COLUMNS
 
 # Fixed values of the mapping.
@@ -43,10 +44,10 @@ def derived_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_seconds(ts.cast("timestamp")).alias("s"),
         event_id, kind, F.floor("value").alias("product"), k.alias("k"),
     )
-    # Session starts as an aggregate joined back, not a window: one huge session then never has to
-    # be sorted in one task.
+    # Session starts as an aggregate joined back, not a window: a huge session can then be split
+    # over tasks instead of being sorted in one.
     starts = stream.groupBy("session_id").agg(F.min("s").alias("s0"))
-    timed = stream.join(starts, "session_id")
+    timed = stream.join(reshuffled(starts), "session_id")
 
     divisor = F.element_at(F.array(*map(F.lit, TIME_DIVISORS)), (user_id % 6 + 1).cast("int"))
     action_time = F.timestamp_seconds(F.col("s0") + F.floor((F.col("s") - F.col("s0")) / divisor))
@@ -72,13 +73,12 @@ def derived_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # ``nation`` is the closed list of 25 countries, so it may always be broadcast.
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     key = F.col("c_custkey")
     return (
         _table(spark, sf_dir, "customer")
         .where(key % 50 != 49)
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             key.alias("user_id"),
             F.concat(F.lit("user"), key.cast("string")).alias("username"),

@@ -9,13 +9,20 @@ from visitlens.functions.times import parse_time
 from visitlens.schemas import ACTION_COLUMNS, TASK_COLUMNS, USER_COLUMNS
 
 
-def read_source(spark: SparkSession, source: str, fmt: str | None = None, **options: str) -> DataFrame:
-    """``fmt`` None: a catalog table or view name. Else a path (or, for jdbc, a table name)."""
+def _read(spark: SparkSession, columns: dict[str, str], source: str, fmt: str | None, options: dict) -> DataFrame:
+    """``fmt`` None: a catalog table or view name. Else a path (or, for jdbc, a table name).
+
+    csv and json carry no types: they get the schema, since inferring it would read them twice.
+    """
     if fmt is None:
         return spark.table(source)
+    reader = spark.read.format(fmt).options(**options)
     if fmt == "jdbc":
-        return spark.read.format("jdbc").options(**{**options, "dbtable": source}).load()
-    return spark.read.format(fmt).options(**options).load(source)
+        return reader.option("dbtable", source).load()
+    if fmt in ("csv", "json"):
+        as_text = {"date", "action_time"}
+        reader = reader.schema(", ".join(f"{n} {'string' if n in as_text else t}" for n, t in columns.items()))
+    return reader.load(source)
 
 
 def _conform(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -54,12 +61,12 @@ def as_tasks(df: DataFrame) -> DataFrame:
 
 
 def read_actions(spark: SparkSession, source: str = "user_visit_action", fmt: str | None = None, **options: str) -> DataFrame:
-    return as_actions(read_source(spark, source, fmt, **options))
+    return as_actions(_read(spark, ACTION_COLUMNS, source, fmt, options))
 
 
 def read_users(spark: SparkSession, source: str = "user_info", fmt: str | None = None, **options: str) -> DataFrame:
-    return as_users(read_source(spark, source, fmt, **options))
+    return as_users(_read(spark, USER_COLUMNS, source, fmt, options))
 
 
 def read_tasks(spark: SparkSession, source: str = "task", fmt: str | None = None, **options: str) -> DataFrame:
-    return as_tasks(read_source(spark, source, fmt, **options))
+    return as_tasks(_read(spark, TASK_COLUMNS, source, fmt, options))
