@@ -1,8 +1,6 @@
 from fractions import Fraction
 from math import floor
 
-from pyspark.sql import functions as F
-
 from tests.rows import actions, visit
 from visitlens.functions.ratios import share
 from visitlens.operators.rollup import roll_up
@@ -43,7 +41,7 @@ def test_no_sessions(spark):
 def test_share_is_exact_half_up(spark):
     pairs = [(n, c) for c in (1, 3, 7, 8, 200, 1000, 1584) for n in range(0, c + 1, max(1, c // 40))] + [(3, 200), (29, 200)]
     df = spark.createDataFrame(pairs, "n bigint, c bigint")
-    for n, c, got in df.select("n", "c", share(F.col("n"), F.col("c"))).collect():
+    for n, c, got in df.select("n", "c", share("n", "c")).collect():
         assert got == floor(Fraction(n, c) * 100 + Fraction(1, 2)) / 100
     assert spark.createDataFrame([(3, 200), (29, 200)], "n bigint, c bigint").select(
-        share(F.col("n"), F.col("c")).alias("r")).toPandas().r.tolist() == [0.02, 0.15]
+        share("n", "c").alias("r")).toPandas().r.tolist() == [0.02, 0.15]

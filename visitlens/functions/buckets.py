@@ -6,10 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def in_bucket(value: Column, low: int, high: int | None) -> Column:
-    return value >= low if high is None else value.between(low, high)
-
-
-def bucket_counts(value: Column, buckets) -> list[Column]:
-    """One ``count_if`` per bucket; null values fall in none."""
-    return [F.count_if(in_bucket(value, low, high)).alias(name) for name, low, high in buckets]
+def bucket_counts(value: str, buckets) -> list[Column]:
+    """One count per bucket of a column; null values fall in none."""
+    return [
+        F.expr(f"count_if({value} >= {low}" + ("" if high is None else f" and {value} <= {high}") + f") as {name}")
+        for name, low, high in buckets
+    ]

@@ -6,12 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def share(part: Column, whole: Column) -> Column:
-    """``part / whole`` to two decimals, half up, null when ``whole`` is 0.
+def share(part: str, whole: str) -> Column:
+    """``part / whole`` of two count columns to two decimals, half up, null when ``whole`` is 0.
 
     Rounded in integers: floor(100*part/whole + 1/2) = (200*part + whole) div (2*whole). A double
     cannot hold most ties exactly, so rounding the quotient would depend on its last bit.
     """
-    doubled = F.nullif(whole * 2, F.lit(0))
-    numerator = part * 200 + whole
-    return (numerator - F.pmod(numerator, doubled)) / doubled / 100
+    return F.expr(f"((200 * {part} + {whole}) div nullif(2 * {whole}, 0)) / 100D")

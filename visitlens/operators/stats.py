@@ -13,11 +13,11 @@ from visitlens.schemas import STEP_BUCKETS, VISIT_BUCKETS
 
 
 def visit_length_hist(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return sessions.groupBy(*by).agg(*bucket_counts(F.col("visit_length"), VISIT_BUCKETS))
+    return sessions.groupBy(*by).agg(*bucket_counts("visit_length", VISIT_BUCKETS))
 
 
 def step_length_hist(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return sessions.groupBy(*by).agg(*bucket_counts(F.col("step_length"), STEP_BUCKETS))
+    return sessions.groupBy(*by).agg(*bucket_counts("step_length", STEP_BUCKETS))
 
 
 def session_shares(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -27,11 +27,11 @@ def session_shares(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """
     counted = sessions.groupBy(*by).agg(
         F.count(F.lit(1)).alias("session_count"),
-        *bucket_counts(F.col("visit_length"), VISIT_BUCKETS),
-        *bucket_counts(F.col("step_length"), STEP_BUCKETS),
+        *bucket_counts("visit_length", VISIT_BUCKETS),
+        *bucket_counts("step_length", STEP_BUCKETS),
     )
     ratios = [
-        share(F.col(name), F.col("session_count")).alias(f"{name}_ratio")
+        share(name, "session_count").alias(f"{name}_ratio")
         for name, _, _ in VISIT_BUCKETS + STEP_BUCKETS
     ]
     return counted.select(*by, "session_count", *ratios)
