@@ -32,5 +32,6 @@ def write_by_task(df: DataFrame, path: str, task_ids: Sequence[int], fmt: str =
 
 
 def rebalanced(df: DataFrame) -> DataFrame:
-    """For results filtered from a huge scan: few well-sized files instead of one per scan task."""
-    return df.hint("rebalance")
+    """For results filtered from a huge scan: few well-sized files per task instead of one per scan
+    partition. Adaptive execution splits a task with many rows over several writers."""
+    return df.hint("rebalance", "task_id")
