@@ -94,6 +94,20 @@ def test_many_details_equal_single(spark):
         assert values(got, *sorted(got.columns)) == values(getattr(one, method)(), *sorted(got.columns))
 
 
+def test_result_rows_have_the_database_columns(spark, single):
+    for name, columns in job.RESULTS.items():
+        rows = job.result_rows(spark, single, name, [1, 3])
+        assert rows.columns == columns
+        assert {r.task_id for r in rows.select("task_id").distinct().collect()} == {1, 3}
+
+
+def test_export_appends_each_table(spark, single, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(job, "write_jdbc", lambda df, url, table, **more: seen.update({table: (df.columns, url, more)}))
+    job.export_tables(spark, single, [1], "jdbc:x:y", user="me")
+    assert seen == {name: (columns, "jdbc:x:y", {"user": "me"}) for name, columns in job.RESULTS.items()}
+
+
 def test_shared_folder(spark, stored_world, single, tmp_path):
     folder = str(tmp_path / "shared")
     os.makedirs(folder)

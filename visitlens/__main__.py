@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from visitlens.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL
-from visitlens.plans.job import run_tasks
+from visitlens.plans.job import export_tables, run_tasks
 from visitlens.session import build_session
 from visitlens.sources.tables import read_actions, read_tasks, read_users
 from visitlens.sources.tasks import load_tasks
@@ -18,18 +18,30 @@ def main(argv: list[str] | None = None) -> None:
     for name, default in (("actions", "user_visit_action"), ("users", "user_info"), ("tasks", "task")):
         parser.add_argument(f"--{name}", default=default, help="table name, or a path with --format")
     parser.add_argument("--format", default=None, help="file format of all three; default: catalog tables")
+    parser.add_argument("--jdbc-url", default=None,
+                        help="read the task table from this database, and append the results to it")
+    parser.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE", help="user, password, driver, ...")
+    parser.add_argument("--work-folder", default=None,
+                        help="shared folder for intermediate results if spark.checkpoint.dir is unset")
     parser.add_argument("--total", type=int, default=DEFAULT_TOTAL, help="sessions to sample per task")
     parser.add_argument("--seed", type=int, default=DEFAULT_SEED)
     args = parser.parse_args(argv)
 
     spark = build_session()
-    tasks = load_tasks(read_tasks(spark, args.tasks, args.format), args.task)
+    jdbc = dict(option.split("=", 1) for option in args.jdbc_option)
+    if args.jdbc_url:
+        task_table = read_tasks(spark, args.tasks, "jdbc", url=args.jdbc_url, **jdbc)
+    else:
+        task_table = read_tasks(spark, args.tasks, args.format)
+    tasks = load_tasks(task_table, args.task)
     run_tasks(
         spark,
         read_actions(spark, args.actions, args.format),
         read_users(spark, args.users, args.format),
-        tasks, args.out, args.total, args.seed,
+        tasks, args.out, args.total, args.seed, args.work_folder,
     )
+    if args.jdbc_url:
+        export_tables(spark, args.out, args.task, args.jdbc_url, **jdbc)
 
 
 if __name__ == "__main__":

@@ -12,13 +12,23 @@ from visitlens.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL
 from visitlens.plans.keep import Kept
 from visitlens.plans.many import ManyTasksPlan
 from visitlens.plans.single import TaskPlan
-from visitlens.schemas import DETAIL_TAGS
+from visitlens.schemas import (
+    DETAIL_COLUMNS, DETAIL_TAGS, SAMPLE_COLUMNS, STAT_COLUMNS, TOP_CATEGORY_COLUMNS, TOP_SESSION_COLUMNS,
+)
 from visitlens.sinks.files import rebalanced, write_by_task
+from visitlens.sinks.jdbc import write_jdbc
 from visitlens.sources.tasks import Task
 
 # Result table names.
 STAT, SAMPLE, DETAIL = "session_aggr_stat", "session_random_extract", "session_detail"
 TOP_CATEGORY, TOP_SESSION = "top10_category", "top10_session"
+RESULTS = {
+    STAT: STAT_COLUMNS,
+    SAMPLE: SAMPLE_COLUMNS,
+    DETAIL: DETAIL_COLUMNS,
+    TOP_CATEGORY: TOP_CATEGORY_COLUMNS,
+    TOP_SESSION: TOP_SESSION_COLUMNS,
+}
 
 
 def run_tasks(
@@ -64,3 +74,15 @@ def run_tasks(
 
 def _tagged(chosen: DataFrame, origin: str, category) -> DataFrame:
     return chosen.select("task_id", "session_id", F.lit(origin).alias("origin"), category.alias("for_category_id"))
+
+
+def result_rows(spark: SparkSession, out: str, name: str, task_ids: Sequence[int]) -> DataFrame:
+    """Rows of these tasks of a written result table, in the column order of the database table."""
+    rows = spark.read.parquet(f"{out}/{name}").where(F.col("task_id").isin(list(task_ids)))
+    return rows.withColumn("task_id", F.col("task_id").cast("bigint")).select(*RESULTS[name])
+
+
+def export_tables(spark: SparkSession, out: str, task_ids: Sequence[int], url: str, **options: str) -> None:
+    """Append the written results of these tasks to a database's tables of the same names."""
+    for name in RESULTS:
+        write_jdbc(result_rows(spark, out, name, task_ids), url, name, **options)
