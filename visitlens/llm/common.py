@@ -30,17 +30,18 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 
 def sample_by_hash(rows: DataFrame, size: int, seed: int, *groups: str) -> DataFrame:
-    """At most ``size`` rows, or ``size`` for each value of ``groups``: those of least id hash.
+    """About ``size`` rows, or ``size`` for each value of ``groups``: those whose id hash is low enough.
 
-    The bound is cut in each task before the shuffle, so no group is sorted whole.
+    All rows where there are fewer. The share comes from a count, so no group meets in one task; the
+    size of the sample keeps to the bound but for the chance in the hashes (its square root).
     """
-    from pyspark.sql import Window
-
-    order = F.xxhash64(F.col("doc_id"), F.lit(seed))
+    counts = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
+    low = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 40)) * F.col("_rows") < F.lit(float(size) * (1 << 40))
     if not groups:
-        return rows.orderBy(order, "doc_id").limit(size)
-    window = Window.partitionBy(*groups).orderBy(order, "doc_id")
-    return rows.withColumn("_place", F.row_number().over(window)).filter(F.col("_place") <= size).drop("_place")
+        total = counts.collect()[0]["_rows"]
+        return rows.withColumn("_rows", F.lit(float(total))).filter(low).drop("_rows")
+    counts = counts.withColumn("_rows", F.col("_rows").cast("double"))
+    return rows.join(counts, list(groups)).filter(low).drop("_rows")
 
 
 def one_label(labels: DataFrame, column: str) -> DataFrame:

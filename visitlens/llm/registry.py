@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from visitlens.llm.language import op9_hyperdimensional_language
 from visitlens.llm.packing import op10_vector_best_fit
 
 QUERIES = {
+    "op9_hyperdimensional_language": op9_hyperdimensional_language,
     "op10_vector_best_fit": op10_vector_best_fit,
 }
 
