@@ -101,3 +101,25 @@ class Shelf:
 def map_batches(df: DataFrame, work: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
     """``mapInArrow``: ``work`` turns an iterator of Arrow batches into another."""
     return df.mapInArrow(work, schema)
+
+
+def arrow_schema(ddl: str):
+    """The Arrow schema of a DDL string; made on the driver, it travels to the tasks."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def rows_batch(rows: list[tuple], schema, *lead):
+    """An Arrow batch of tuples, with ``lead`` arrays as its first columns."""
+    import pyarrow as pa
+
+    fields = list(schema)[len(lead):]
+    columns = list(zip(*rows)) or [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([*lead, *(pa.array(c, f.type) for c, f in zip(columns, fields))], schema.names)
+
+
+def kind_of(df: DataFrame, column: str) -> str:
+    """The DDL name of a column's type."""
+    return df.schema[column].dataType.simpleString()

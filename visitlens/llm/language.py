@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import held_out, ids_and_texts, map_batches, read, sample_by_hash
+from visitlens.llm.common import held_out, ids_and_texts, kind_of, map_batches, read, sample_by_hash
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -208,7 +208,7 @@ def predict(docs: DataFrame, languages: list[str], prototypes: list[list[float]]
             )
 
     rows = ids_and_texts(docs, None).select("doc_id", held_out().alias("held_out"), "text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = kind_of(docs, "doc_id")
     return map_batches(rows, compare, f"doc_id {kind}, held_out boolean, lang_pred string, score double, margin double")
 
 
