@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from visitlens.llm.language import op9_hyperdimensional_language
 from visitlens.llm.packing import op10_vector_best_fit
+from visitlens.llm.personal import op6_semi_markov_pii
+from visitlens.llm.quality import op5_isolation_forest
 
 QUERIES = {
+    "op5_isolation_forest": op5_isolation_forest,
+    "op6_semi_markov_pii": op6_semi_markov_pii,
     "op9_hyperdimensional_language": op9_hyperdimensional_language,
     "op10_vector_best_fit": op10_vector_best_fit,
 }
