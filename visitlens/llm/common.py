@@ -53,6 +53,17 @@ def one_label(labels: DataFrame, column: str) -> DataFrame:
     )
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, size: int, seed: int, by_label: bool = False) -> DataFrame:
+    """``doc_id``, ``text`` and ``label`` of about ``size`` labelled documents that are not held out.
+
+    With ``by_label``, ``size`` of each label. The labels are sampled first: their ids are so few
+    that they are sent to the documents, which are not shuffled.
+    """
+    known = one_label(labels, column).filter(~held_out())
+    known = sample_by_hash(known, size, seed, *(["label"] if by_label else []))
+    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster shares. Only where none is set (tests), one of this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
