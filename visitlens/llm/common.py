@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MOST_GROUPS = 10_000  # sizes of as many groups are sent to every task
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -40,8 +43,12 @@ def sample_by_hash(rows: DataFrame, size: int, seed: int, *groups: str) -> DataF
     if not groups:
         total = counts.collect()[0]["_rows"]
         return rows.withColumn("_rows", F.lit(float(total))).filter(low).drop("_rows")
-    counts = counts.withColumn("_rows", F.col("_rows").cast("double"))
-    return rows.join(counts, list(groups)).filter(low).drop("_rows")
+    known = counts.limit(MOST_GROUPS + 1).collect()
+    if len(known) > MOST_GROUPS:  # too many to send: join them
+        return rows.join(counts.withColumn("_rows", F.col("_rows").cast("double")), list(groups)).filter(low).drop("_rows")
+    sizes = rows.sparkSession.createDataFrame(
+        [(*row[:-1], float(row[-1])) for row in known], rows.select(*groups).schema.add("_rows", "double"))
+    return rows.join(F.broadcast(sizes), list(groups)).filter(low).drop("_rows")
 
 
 def one_label(labels: DataFrame, column: str) -> DataFrame:
@@ -83,19 +90,21 @@ class Shelf:
     def __init__(self, spark: SparkSession, name: str):
         self._spark = spark
         self._root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        self._paths: dict[int, str] = {}
+        self._kept: dict[int, tuple[DataFrame, str]] = {}
+        self._count = 0
         atexit.register(self.close)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self._root}/{name}-{len(self._paths)}"
+        self._count += 1
+        path = f"{self._root}/{name}-{self._count}"
         df.write.parquet(path)
         kept = self._spark.read.schema(df.schema).parquet(path)
-        self._paths[id(kept)] = path
+        self._kept[id(kept)] = kept, path
         return kept
 
     def drop(self, *kept: DataFrame) -> None:
         for df in kept:
-            self._delete(self._paths.pop(id(df)))
+            self._delete(self._kept.pop(id(df))[1])
 
     def close(self) -> None:
         try:
