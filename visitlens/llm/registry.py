@@ -7,10 +7,12 @@ from visitlens.llm.packing import op10_vector_best_fit
 from visitlens.llm.personal import op6_semi_markov_pii
 from visitlens.llm.quality import op5_isolation_forest
 from visitlens.llm.similarity import op4_chosen_path_join
+from visitlens.llm.substrings import op2_prefix_doubling
 from visitlens.llm.toxicity import op1_block_max_toxicity
 
 QUERIES = {
     "op1_block_max_toxicity": op1_block_max_toxicity,
+    "op2_prefix_doubling": op2_prefix_doubling,
     "op4_chosen_path_join": op4_chosen_path_join,
     "op5_isolation_forest": op5_isolation_forest,
     "op6_semi_markov_pii": op6_semi_markov_pii,
