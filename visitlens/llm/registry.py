@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from visitlens.llm.fingerprints import op3_one_permutation_minhash
 from visitlens.llm.language import op9_hyperdimensional_language
 from visitlens.llm.packing import op10_vector_best_fit
 from visitlens.llm.personal import op6_semi_markov_pii
@@ -13,6 +14,7 @@ from visitlens.llm.toxicity import op1_block_max_toxicity
 QUERIES = {
     "op1_block_max_toxicity": op1_block_max_toxicity,
     "op2_prefix_doubling": op2_prefix_doubling,
+    "op3_one_permutation_minhash": op3_one_permutation_minhash,
     "op4_chosen_path_join": op4_chosen_path_join,
     "op5_isolation_forest": op5_isolation_forest,
     "op6_semi_markov_pii": op6_semi_markov_pii,
