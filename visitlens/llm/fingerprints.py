@@ -27,6 +27,7 @@ from visitlens.llm.common import read
 WORDS = 5
 BINS = 256
 BITS = 8
+QUICK_PROBES = 16
 SEPARATORS = r"[\x20\t-\r]+"
 BUCKETS_PER_PARTITION = 4
 MOST_BUCKETS = 65_536
@@ -50,41 +51,52 @@ def shingle_hashes(text: Column, words: int = WORDS) -> Column:
     return let(codes, grams)
 
 
-def bins_of(hashes: Column, bins: int = BINS) -> Column:
-    """The least hash of every bin, in the order of the bins; null where a bin is empty."""
+def probe_orders(bins: int) -> list[tuple[int, int, int]]:
+    """Start, odd stride and the stride's inverse of every bin's probe sequence, fixed by the bin's number."""
+    from random import Random
+
+    draw = Random(bins)
+    orders = [(draw.randrange(bins), 2 * draw.randrange(bins // 2) + 1) for _ in range(bins)]
+    return [(start, stride, pow(stride, -1, bins)) for start, stride in orders]
+
+
+def dense_bins(hashes: Column, bins: int = BINS, quick: int = QUICK_PROBES) -> Column:
+    """The least hash of every bin, in the order of the bins; empty ones hold what their probing meets first.
+
+    ``quick`` probes are looked up one after the other. Where all fail (few bins are filled), the least
+    place on the sequence among the filled bins is computed, which gives the same bin.
+    """
     shift = 64 - (bins.bit_length() - 1)
     bin_of = lambda x: F.shiftrightunsigned(x, shift).cast("int")
+    start, stride, inverse = (F.array(*(F.lit(order[i]) for order in probe_orders(bins))) for i in range(3))
+    of = lambda numbers, b: F.element_at(numbers, b + 1)
 
     # In a sorted array the hashes of a bin are neighbours, least first.
     def firsts(ordered: Column) -> Column:
         return F.filter(
             ordered, lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.element_at(ordered, F.greatest(i, F.lit(1))))))
 
+    def densified(values: Column, some: Column) -> Column:
+        def probe(b: Column) -> Column:
+            met = [F.element_at(values, F.pmod(of(start, b) + of(stride, b) * j, F.lit(bins)) + 1) for j in range(quick)]
+            place = F.array_min(F.transform(some, lambda x: F.pmod((bin_of(x) - of(start, b)) * of(inverse, b), F.lit(bins))))
+            last = F.element_at(values, F.pmod(of(start, b) + of(stride, b) * place, F.lit(bins)) + 1)
+            return F.coalesce(*met, last)
+
+        return F.transform(values, lambda v, b: F.coalesce(v, probe(b)))
+
     def spread(some: Column) -> Column:
-        return let(
+        filled = let(
             F.map_from_arrays(F.transform(some, bin_of), some),
-            lambda filled: F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.element_at(filled, b)))
+            lambda found: F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.element_at(found, b)))
+        return let(filled, lambda values: densified(values, some))
 
     return let(let(F.sort_array(hashes), firsts), spread)
 
 
-def densified(filled: Column, bins: int = BINS) -> Column:
-    """Empty bins take the value of the first filled one on their probe sequence; an odd stride meets all bins."""
-    steps = F.sequence(F.lit(0), F.lit(bins - 1))
-
-    def probe(values: Column, b: Column) -> Column:
-        start = F.pmod(F.xxhash64(b), F.lit(bins))
-        stride = F.pmod(F.xxhash64(b, F.lit(1)), F.lit(bins // 2)) * 2 + 1
-        way = let(F.struct(start.alias("start"), stride.alias("stride")), lambda at: F.transform(
-            steps, lambda j: F.pmod(at["start"] + j * at["stride"], F.lit(bins)).cast("int") + 1))
-        return F.element_at(values, F.element_at(F.filter(way, lambda c: F.element_at(values, c).isNotNull()), 1))
-
-    return let(filled, lambda values: F.transform(values, lambda v, b: F.coalesce(v, probe(values, b))))
-
-
 def low_bits(text: Column, words: int = WORDS, bins: int = BINS, bits: int = BITS) -> Column:
     """The low bits of every bin, as an array of numbers."""
-    dense = densified(bins_of(shingle_hashes(text, words), bins), bins)
+    dense = dense_bins(shingle_hashes(text, words), bins)
     return F.transform(dense, lambda v: v.bitwiseAND(F.lit((1 << bits) - 1)))
 
 
