@@ -206,8 +206,8 @@ def candidate_edges(sets: DataFrame, shelf: Shelf, threshold: float, tokens: int
     nodes = sets.select(roots.alias("run"), "set", "tokens").select(F.xxhash64(F.lit(SEED), "run").alias("path"), "set", "tokens")
     found = []
     for level in range(1, depth + 1):
-        nodes = split(nodes, threshold, tokens)
-        members = nodes.select("path", "set").distinct() if level > 1 else nodes.select("path", "set")
+        members = split(nodes, threshold, tokens).select("path", "set")
+        members = shelf.keep(members.distinct() if level > 1 else members, f"members{level}")
         # Count, sum and exclusive or of member hashes tell member sets apart: of equal ones a single node is searched.
         sized = members.groupBy("path").agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("total"),
@@ -215,16 +215,18 @@ def candidate_edges(sets: DataFrame, shelf: Shelf, threshold: float, tokens: int
         ).filter("n > 1")
         sized = shelf.keep(sized, f"sized{level}")
         little = sized.filter(F.col("n") <= small).groupBy("n", "total", "mix").agg(F.min("path").alias("path")).select("path")
-        if level == depth:
-            once = sized.filter(F.col("n") > small).groupBy("n", "total", "mix").agg(
-                F.min("path").alias("path"), F.min("least").alias("least"))
-            stars = members.join(once.select("path", "least"), "path").select(F.col("set").alias("a"), F.col("least").alias("b"))
-            found.append(shelf.keep(stars.filter("a <> b"), "stars"))
-        found.append(shelf.keep(likely_links(nodes.join(little, "path"), threshold, tokens).distinct(), f"links{level}"))
+        # Tokens are fetched for what is searched, or split again, alone.
+        searched = members.join(little, "path").join(sets, "set")
+        found.append(shelf.keep(likely_links(searched, threshold, tokens).distinct(), f"links{level}"))
         large = sized.filter(F.col("n") > small)
-        if level == depth or large.isEmpty():
+        if large.isEmpty():
             break
-        nodes = shelf.keep(nodes.join(large.select("path"), "path", "left_semi"), f"nodes{level}")
+        if level < depth:
+            nodes = members.join(large.select("path"), "path").join(sets, "set")
+        else:
+            once = large.groupBy("n", "total", "mix").agg(F.min("path").alias("path"), F.min("least").alias("least"))
+            stars = members.join(once.select("path", "least"), "path").select(F.col("set").alias("a"), F.col("least").alias("b"))
+            found.append(shelf.keep(stars.filter("a <> b"), "stars"))
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
