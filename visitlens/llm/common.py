@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_ROWS = 1000  # rows a task holds as Python objects at a time
 MOST_GROUPS = 10_000  # sizes of as many groups are sent to every task
 
 
@@ -119,8 +120,13 @@ class Shelf:
 
 
 def map_batches(df: DataFrame, work: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
-    """``mapInArrow``: ``work`` turns an iterator of Arrow batches into another."""
-    return df.mapInArrow(work, schema)
+    """``mapInArrow``: ``work`` turns an iterator of Arrow batches into another. Batches are cut to BATCH_ROWS."""
+    def cut(batches: Iterator) -> Iterator:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                yield batch.slice(at, BATCH_ROWS)
+
+    return df.mapInArrow(lambda batches: work(cut(batches)), schema)
 
 
 def arrow_schema(ddl: str):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.llm.common import Shelf
+from visitlens.operators.bounds import reshuffled
 
 
 def components(edges: DataFrame, shelf: Shelf) -> DataFrame:
@@ -27,10 +28,10 @@ def components(edges: DataFrame, shelf: Shelf) -> DataFrame:
         state = tuple(print_)
         both = now.unionByName(now.select(F.col("low").alias("high"), F.col("high").alias("low")))
         least = both.groupBy("high").agg(F.min("low").alias("m")).select("high", F.least("m", "high").alias("m"))
-        large = both.filter("low > high").join(least, "high").select(F.col("low").alias("high"), F.col("m").alias("low"))
+        large = both.filter("low > high").join(reshuffled(least), "high").select(F.col("low").alias("high"), F.col("m").alias("low"))
         large = shelf.keep(large.filter("high <> low").distinct(), "large")
         least = large.groupBy("high").agg(F.min("low").alias("m"))
-        small = large.join(least, "high").select(F.explode(F.array(
+        small = large.join(reshuffled(least), "high").select(F.explode(F.array(
             F.struct(F.col("low").alias("high"), F.col("m").alias("low")), F.struct(F.col("high"), F.col("m").alias("low")),
         )).alias("e")).select("e.high", "e.low").filter("high <> low").distinct()
         after = shelf.keep(small, "small")

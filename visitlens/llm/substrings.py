@@ -288,10 +288,12 @@ def marked(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int
         found = found.unionByName(test_by_windows(cut.filter(F.col("windows") > task_windows), length, id_kind))
     cuts = found.groupBy(F.col("doc_id").alias("_id"), F.col("k1").alias("_k1")).agg(
         F.collect_list(F.struct("start", "end")).alias("_cuts"))
-    return (
-        held.join(cuts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k1")), "left")
-        .select(*docs.columns, raw.alias("_raw"), "_cuts", whole.alias("_whole"))
-    )
+    # Only texts with repeated stretches can have cuts; the others are not shuffled for them.
+    columns = (*docs.columns, raw.alias("_raw"), "_cuts", whole.alias("_whole"))
+    some = held.filter(F.col("_parts").isNotNull()).join(
+        cuts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k1")), "left").select(*columns)
+    none = held.filter(F.col("_parts").isNull()).withColumn("_cuts", F.lit(None).cast(cuts.schema["_cuts"].dataType))
+    return some.unionByName(none.select(*columns))
 
 
 def merged(cuts: list[dict] | None, whole: bool, size: int) -> list[tuple[int, int]]:

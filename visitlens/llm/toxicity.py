@@ -161,7 +161,7 @@ class BlockMax:
             numbers, cosines = np.r_[numbers, own[keep]], np.r_[cosines, scores[keep]]
             order = np.lexsort((numbers, -np.round(cosines, 9)))[:k]
             numbers, cosines = numbers[order], cosines[order]
-            least = np.round(cosines[-1], 9)
+            least = np.round(cosines[-1], 9) if len(cosines) else -1.0
         return numbers, cosines
 
 
