@@ -5,27 +5,37 @@ Written from the definitions, not from the Spark plans: plain windows, joins and
 
 from __future__ import annotations
 
+# The task rows of FIXTURES.md.
+_CONSTANT_TASKS = """  VALUES
+    (1, DATE '2024-01-03', DATE '2024-01-25', 10, 50, NULL, NULL, NULL, NULL, NULL),
+    (2, DATE '2024-01-01', DATE '2024-01-31', NULL, NULL, ['BUILDING', 'MACHINERY'], NULL, 'male', NULL, NULL),
+    (3, DATE '2024-01-05', DATE '2024-01-12', NULL, NULL, NULL, ['NATION_1', 'NATION_2', 'NATION_3'], NULL, NULL, NULL),
+    (4, DATE '2024-01-01', DATE '2024-01-31', NULL, NULL, NULL, NULL, NULL, ['hotpot', 'tea'], [0, 7])
+"""
+
 BASE = """
 WITH stream AS (
   SELECT event_id, user_id, event_type,
          CAST(floor(value) AS BIGINT) AS product,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
          epoch_us(ts) // 1000000 AS s,
-         'u' || user_id || '_' || (date_diff('day', DATE '2024-01-01', CAST(ts AS DATE))
-           // CASE WHEN user_id % 10 = 0 THEN 30 WHEN user_id % 10 = 5 THEN 15 ELSE 1 END) AS session_id
+         CASE WHEN user_id % 10 = 0 THEN 30 WHEN user_id % 10 = 5 THEN 15 ELSE 1 END AS span,
+         date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // span AS part
   FROM events
 ), timed AS (
-  SELECT *, min(s) OVER (PARTITION BY session_id) AS s0,
+  SELECT *, 'u' || user_id || '_' || part AS session_id,
+         epoch_us(TIMESTAMP '2024-01-01') // 1000000 + part * span * 86400 AS midnight,
+         (user_id * 7 + part * 5) % 24 * 3600 AS shift,
          CASE user_id % 6 WHEN 0 THEN 1 WHEN 1 THEN 20 WHEN 2 THEN 120 WHEN 3 THEN 900 WHEN 4 THEN 3000 ELSE 9000 END AS d,
          (k * k) // 500 AS c1,
          (((k + 7) % 100) * ((k + 7) % 100)) // 500 AS c2
   FROM stream
 ), shaped AS (
-  SELECT *, make_timestamp((s0 + (s - s0) // d) * 1000000) AS action_time,
+  SELECT *, make_timestamp((midnight + shift + (s - midnight) // d) * 1000000) AS action_time,
          CASE WHEN event_id % 3 = 0 THEN c1 || ',' || c2 ELSE CAST(c1 AS VARCHAR) END AS ids
   FROM timed
 ), all_actions AS (
-  SELECT CAST(action_time AS DATE) AS date, user_id, session_id, event_id % 10 AS page_id, action_time,
+  SELECT CAST(action_time AS DATE) AS date, CASE WHEN user_id % 50 = 49 THEN user_id + 1000000000 ELSE user_id END AS user_id, session_id, event_id % 10 AS page_id, action_time,
          CASE WHEN event_type = 'view' THEN list_extract(['hotpot', 'cake', 'fish hotpot', 'noodles', 'sushi', 'mall',
            'tower', 'hot spring', 'bbq', 'tea'], k % 10 + 1) END AS search_keyword,
          CASE WHEN event_type = 'click' THEN c1 END AS click_category_id,
@@ -39,14 +49,8 @@ WITH stream AS (
   SELECT c_custkey AS user_id, c_custkey * 7 % 60 AS age, c_mktsegment AS professional, n_name AS city,
          CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 50 <> 49
 ), params(task_id, start_date, end_date, start_age, end_age, professionals, cities, task_sex, keywords, categories) AS (
-  VALUES
-    (1, DATE '2024-01-03', DATE '2024-01-25', 10, 50, NULL, NULL, NULL, NULL, NULL),
-    (2, DATE '2024-01-01', DATE '2024-01-31', NULL, NULL, ['BUILDING', 'MACHINERY'], NULL, 'male', NULL, NULL),
-    (3, DATE '2024-01-05', DATE '2024-01-12', NULL, NULL, NULL, ['NATION_1', 'NATION_2', 'NATION_3'], NULL, NULL, NULL),
-    (4, DATE '2024-01-01', DATE '2024-01-31', NULL, NULL, NULL, NULL, NULL, ['hotpot', 'tea'], [0, 7])
-), task_actions AS (
+""" + _CONSTANT_TASKS + """), task_actions AS (
   SELECT CAST(task_id AS BIGINT) AS task_id, a.* FROM all_actions a JOIN params ON a.date BETWEEN start_date AND end_date
 ), task_rollup AS (
   SELECT task_id, session_id, min(user_id) AS user_id, min(action_time) AS start_at, max(action_time) AS end_at,
@@ -255,10 +259,23 @@ _ON_BASE = {
       SELECT detail.*, t.category_id FROM detail
       JOIN task_top_sessions t ON detail.task_id = t.task_id AND detail.session_id = t.session_id
       WHERE detail.task_id = 1""",
+    "delivered_actions": f"SELECT {_ACTION_TEXT} FROM all_actions",
     "multi_task_stat": _stat(""),
     "multi_task_sample": _SAMPLE,
     "multi_task_top10_category": _TOP_CATEGORY,
     "multi_task_top10_session": _TOP_SESSION,
 }
 
-ORACLE = {name: BASE + text for name, text in _ON_BASE.items()} | {"task_params": _TASK_TABLE}
+# The tasks of the many-task queries are rows of the task table.
+_FROM_TABLE = f"""
+  SELECT task_id, CAST(start_date AS DATE), CAST(end_date AS DATE), CAST(start_age AS INTEGER), CAST(end_age AS INTEGER),
+         string_split(professionals, ','), string_split(cities, ','), sex, string_split(keywords, ','),
+         CAST(string_split(category_ids, ',') AS BIGINT[])
+  FROM ({_TASK_TABLE}) WHERE task_id IN (1, 2, 3, 4)
+"""
+MANY_BASE = BASE.replace(_CONSTANT_TASKS, _FROM_TABLE)
+
+ORACLE = {name: (MANY_BASE if name.startswith("multi_task") else BASE) + text for name, text in _ON_BASE.items()} | {
+    "task_params": _TASK_TABLE,
+    "task_by_id": f"SELECT * FROM ({_TASK_TABLE}) WHERE task_id = 7",
+}

@@ -18,7 +18,8 @@ from visitlens.plans.single import TaskPlan
 from visitlens.schemas import ACTION_COLUMNS
 from visitlens.session import apply_runtime_conf
 from visitlens.sources.derived import derived_actions, derived_tasks, derived_users
-from visitlens.sources.tasks import Task, decode_params
+from visitlens.sources.tables import read_actions
+from visitlens.sources.tasks import Task, decode_params, load_tasks
 
 # The task rows of FIXTURES.md.
 TASK_PARAMS = {
@@ -29,6 +30,9 @@ TASK_PARAMS = {
 }
 TASKS = {i: Task.from_json(i, text) for i, text in TASK_PARAMS.items()}
 
+# Tasks of the task table that the many-task queries run.
+TABLE_TASKS = (1, 2, 3, 4)
+
 # 100 sessions over 23 days truncate to none per hour; 1,000 leave something to compare.
 SAMPLE_TOTAL = 1000
 
@@ -44,8 +48,9 @@ def task_plan(spark: SparkSession, sf_dir: str, task_id: int = 1) -> TaskPlan:
 
 def many_plan(spark: SparkSession, sf_dir: str) -> ManyTasksPlan:
     apply_runtime_conf(spark)
+    tasks = load_tasks(derived_tasks(spark, sf_dir), TABLE_TASKS)
     return ManyTasksPlan(
-        spark, derived_actions(spark, sf_dir), derived_users(spark, sf_dir), list(TASKS.values()), total=SAMPLE_TOTAL
+        spark, derived_actions(spark, sf_dir), derived_users(spark, sf_dir), tasks, total=SAMPLE_TOTAL
     )
 
 
@@ -202,6 +207,20 @@ def task_params(spark, sf_dir):
     return decode_params(derived_tasks(spark, sf_dir))
 
 
+def task_by_id(spark, sf_dir):
+    """One task found by its id, from the row as it is stored."""
+    return decode_params(derived_tasks(spark, sf_dir).where(F.col("task_id") == 7))
+
+
+def delivered_actions(spark, sf_dir):
+    """The click stream as delivered, in a view of text dates and times with unpadded hours, read back typed."""
+    text = derived_actions(spark, sf_dir).withColumns({
+        "date": F.date_format("date", "yyyy-MM-dd"), "action_time": F.date_format("action_time", "yyyy-MM-dd H:mm:ss"),
+    })
+    text.createOrReplaceTempView("delivered_actions")
+    return _action_text(read_actions(spark, "delivered_actions"))
+
+
 def multi_task_stat(spark, sf_dir):
     return many_plan(spark, sf_dir).stat()
 
@@ -253,6 +272,8 @@ QUERIES: dict[str, Query] = {
     "top10_session": top10_session,
     "top10_session_detail": top10_session_detail,
     "task_params": task_params,
+    "task_by_id": task_by_id,
+    "delivered_actions": delivered_actions,
     "multi_task_stat": multi_task_stat,
     "multi_task_sample": multi_task_sample,
     "multi_task_top10_category": multi_task_top10_category,

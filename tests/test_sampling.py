@@ -79,3 +79,9 @@ def test_by_task_equals_each_alone(spark):
 
 def test_empty(spark):
     assert sample_sessions(sessions(spark, []), 100).count() == 0
+
+
+@pytest.mark.parametrize("total", [1, 5, 10])
+def test_a_session_without_id_is_drawn_like_any_other(spark, total):
+    rows = [(f"s{i}" if i else None, "2024-01-01 10:00:00") for i in range(10)]
+    assert sample_sessions(sessions(spark, rows), total).count() == total

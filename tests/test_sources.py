@@ -58,7 +58,7 @@ def test_partitioned_tables_are_pruned(spark, tmp_path, kind):
     stored(spark, ROWS).withColumn("date", F.col("date").cast(kind)).write.partitionBy("date").parquet(path)
     got = actions_between(read_actions(spark, path, "parquet"), date(2024, 1, 3), date(2024, 1, 4))
     plan = executed(got)
-    assert "PartitionFilters: [isnotnull(date" in plan and "PushedFilters: []" in plan
+    assert "date" in plan.split("PartitionFilters: [")[1].split("]")[0] and "PushedFilters: []" in plan
     assert {f.split("date=")[1].split("/")[0] for f in got.inputFiles()} == {"2024-01-03", "2024-01-04"} or got.count() == 2
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import sys
 
 from visitlens.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL
 from visitlens.plans.job import export_tables, run_tasks
@@ -18,6 +19,8 @@ def main(argv: list[str] | None = None) -> None:
     for name, default in (("actions", "user_visit_action"), ("users", "user_info"), ("tasks", "task")):
         parser.add_argument(f"--{name}", default=default, help="table name, or a path with --format")
     parser.add_argument("--format", default=None, help="file format of all three; default: catalog tables")
+    parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                        help="reader option of the files, such as header=true")
     parser.add_argument("--jdbc-url", default=None,
                         help="read the task table from this database, and append the results to it")
     parser.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE", help="user, password, driver, ...")
@@ -28,20 +31,25 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = build_session()
+    options = dict(option.split("=", 1) for option in args.option)
     jdbc = dict(option.split("=", 1) for option in args.jdbc_option)
     if args.jdbc_url:
         task_table = read_tasks(spark, args.tasks, "jdbc", url=args.jdbc_url, **jdbc)
     else:
-        task_table = read_tasks(spark, args.tasks, args.format)
-    tasks = load_tasks(task_table, args.task)
-    run_tasks(
-        spark,
-        read_actions(spark, args.actions, args.format),
-        read_users(spark, args.users, args.format),
-        tasks, args.out, args.total, args.seed, args.work_folder,
-    )
-    if args.jdbc_url:
-        export_tables(spark, args.out, args.task, args.jdbc_url, **jdbc)
+        task_table = read_tasks(spark, args.tasks, args.format, **options)
+    bad: dict[int, str] = {}
+    tasks = load_tasks(task_table, args.task, bad)
+    if tasks:
+        run_tasks(
+            spark,
+            read_actions(spark, args.actions, args.format, **options),
+            read_users(spark, args.users, args.format, **options),
+            tasks, args.out, args.total, args.seed, args.work_folder,
+        )
+        if args.jdbc_url:
+            export_tables(spark, args.out, [t.task_id for t in tasks], args.jdbc_url, **jdbc)
+    if bad:
+        sys.exit("".join(f"task {i} has unreadable parameters and was not run: {why}\n" for i, why in bad.items()))
 
 
 if __name__ == "__main__":

@@ -2,105 +2,168 @@
 
 A session is cut at each task's date range before it is rolled up, so tasks cannot share sessions.
 They do share *session-days*: a day is inside a range or outside it. Actions are rolled up once to
-(session, day); only these much fewer rows are then copied to every task whose range holds the day.
+(session, day), and joined with their users there; only these much fewer rows are then copied to
+every task whose range holds the day.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import seconds_between
 from visitlens.operators.bounds import broadcast_if
 from visitlens.operators.categories import COUNTS, only_sessions, session_categories
-from visitlens.operators.scan import actions_between
+from visitlens.operators.scan import actions_between, readable_date
 from visitlens.operators.users import join_users
 from visitlens.sources.tasks import Task, task_frame
 
 BY_TASK = ("task_id",)
 
+# Wanted values that share one bigint, a bit each.
+MASK_BITS = 63
 
-def bounded(actions: DataFrame, tasks: Sequence[Task]) -> tuple[DataFrame, list[Task]]:
-    """Actions cut to the span of all tasks, and the tasks with both dates filled in.
 
-    A missing bound is taken from the data (column statistics of one scan of ``date``), so that
-    every task is a finite list of days.
-    """
-    day = F.col("date").cast("date")
+def merged_ranges(tasks: Sequence[Task]) -> list[tuple[date, date]] | None:
+    """The days any task asks for as disjoint ranges; None if a task lacks a bound."""
     if any(t.start_date is None or t.end_date is None for t in tasks):
-        first, last = actions.agg(F.min(day), F.max(day)).first()
-        if first is None:  # no actions at all: any day will do
-            first = last = date(1970, 1, 1)
-        tasks = [replace(t, start_date=t.start_date or first, end_date=t.end_date or last) for t in tasks]
-    span = actions_between(actions, min(t.start_date for t in tasks), max(t.end_date for t in tasks))
-    return span.withColumn("date", day), list(tasks)
-
-
-def task_days(spark, tasks: Sequence[Task]) -> DataFrame:
-    """(task_id, date) for every day of every task, plus what the task searches for."""
-    rows = sum(max(0, (t.end_date - t.start_date).days + 1) for t in tasks)
-    frame = task_frame(spark, tasks).where("start_date <= end_date")
-    days = frame.select(
-        "task_id", F.explode(F.sequence("start_date", "end_date")).alias("date"), "keywords", "category_ids"
-    )
-    return broadcast_if(days, rows)
+        return None
+    merged: list[tuple[date, date]] = []
+    for start, end in sorted((t.start_date, t.end_date) for t in tasks if t.start_date <= t.end_date):
+        if merged and start.toordinal() <= merged[-1][1].toordinal() + 1:
+            merged[-1] = merged[-1][0], max(end, merged[-1][1])
+        else:
+            merged.append((start, end))
+    return merged
+
+
+def bounded(actions: DataFrame, tasks: Sequence[Task]) -> DataFrame:
+    """Actions of the days any task asks for, their ``date`` as a day; undated ones are in no task.
+
+    The ranges are literals, gaps between them included. If a task lacks a bound, so does the scan.
+    """
+    ranges = merged_ranges(tasks)
+    start = min((t.start_date for t in tasks), default=None) if all(t.start_date for t in tasks) else None
+    end = max((t.end_date for t in tasks), default=None) if all(t.end_date for t in tasks) else None
+    span = actions_between(actions, start, end)
+    if ranges is not None and len(ranges) > 1:
+        as_text = dict(actions.dtypes)["date"] == "string"
+        bound = (lambda day: F.lit(day.isoformat())) if as_text else F.lit
+        span = span.where(reduce(lambda x, y: x | y, (F.col("date").between(bound(a), bound(b)) for a, b in ranges)))
+    return span.withColumn("date", readable_date(span))
+
+
+def task_days(spark, actions: DataFrame, tasks: Sequence[Task]) -> DataFrame:
+    """(task_id, date) for every day of every task. Takes what :func:`bounded` returns.
+
+    A task that lacks a bound gets the days the actions have.
+    """
+    closed = [t for t in tasks if t.start_date is not None and t.end_date is not None]
+    rows = sum(max(0, (t.end_date - t.start_date).days + 1) for t in closed)
+    frame = task_frame(spark, closed).where("start_date <= end_date")
+    days = broadcast_if(frame.select("task_id", F.explode(F.sequence("start_date", "end_date")).alias("date")), rows)
+    open_ = [t for t in tasks if t not in closed]
+    if not open_:
+        return days
+    frame = broadcast_if(task_frame(spark, open_).select("task_id", "start_date", "end_date"), len(open_))
+    seen = actions.select("date").distinct().join(
+        frame, F.expr("(start_date is null or date >= start_date) and (end_date is null or date <= end_date)"))
+    return days.unionByName(seen.select("task_id", "date"))
 
 
 def _wanted(values) -> list:
     return sorted({v for given in values if given is not None for v in given})
 
 
-def _hit(have: str, wanted: str):
-    """Null parameter passes."""
-    return F.col(wanted).isNull() | F.coalesce(F.arrays_overlap(have, wanted), F.lit(False))
+def _masks(values: list, given) -> list[int | None]:
+    """The bits of ``given`` among ``values``, in as many numbers as are needed; None asks for nothing."""
+    width = -(-len(values) // MASK_BITS)
+    if given is None:
+        return [None] * width
+    masks = [0] * width
+    for value in given:
+        at = values.index(value)
+        masks[at // MASK_BITS] |= 1 << at % MASK_BITS
+    return masks
+
+
+def _seen(column: str, values: list, name: str) -> list[Column]:
+    """One fixed-width aggregate per mask: the wanted values that occur."""
+    if not values:
+        return []
+    at = F.array_position(F.array(*map(F.lit, values)), F.col(column)) - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(MASK_BITS)).cast("int"))
+    return [
+        F.bit_or(F.when(at.between(n * MASK_BITS, n * MASK_BITS + MASK_BITS - 1), bit)).alias(f"{name}_{n}")
+        for n in range(-(-len(values) // MASK_BITS))
+    ]
+
+
+def _hit(given: str, seen: str, masks: int) -> Column:
+    """Null parameter passes; a given list passes if one of its values was seen."""
+    met = [F.coalesce(F.col(f"{seen}_{n}").bitwiseAND(F.col(f"{seen}_mask_{n}")) != 0, F.lit(False)) for n in range(masks)]
+    return ~F.col(given) | reduce(lambda x, y: x | y, met, F.lit(False))
+
+
+def _params(spark, tasks: Sequence[Task], keywords: list, categories: list) -> DataFrame:
+    """What each task asks of users and sessions; keywords and categories as bit masks."""
+    frame = task_frame(spark, tasks).select("task_id", "start_age", "end_age", "professionals", "cities", "task_sex")
+    width = (-(-len(keywords) // MASK_BITS), -(-len(categories) // MASK_BITS))
+    kinds = ["task_id bigint", "by_keyword boolean", "by_category boolean"]
+    kinds += [f"keyword_mask_{n} bigint" for n in range(width[0])] + [f"category_mask_{n} bigint" for n in range(width[1])]
+    rows = [
+        (t.task_id, t.keywords is not None, t.category_ids is not None, *_masks(keywords, t.keywords), *_masks(categories, t.category_ids))
+        for t in tasks
+    ]
+    masks = spark.createDataFrame(rows, ", ".join(kinds))
+    return broadcast_if(frame.join(broadcast_if(masks, len(tasks)), "task_id"), len(tasks))
 
 
 def task_sessions(spark, actions: DataFrame, users: DataFrame, tasks: Sequence[Task]) -> DataFrame:
     """Filtered sessions of every task: task_id, session_id, user_id, start_time, step_length,
-    visit_length. Takes what :func:`bounded` returns."""
+    visit_length. Takes what :func:`bounded` returns.
+
+    Users are joined to session-days, once, whatever the number of tasks. A session belongs to its
+    least user in the task's dates; it passes if the least user of all is the least one that passes.
+    """
     keywords = _wanted(t.keywords for t in tasks)
     categories = _wanted(t.category_ids for t in tasks)
-    # Only values some task asks for are collected, so the arrays are as small as the tasks' lists.
+    width = (-(-len(keywords) // MASK_BITS), -(-len(categories) // MASK_BITS))
     session_days = actions.groupBy("session_id", "date").agg(
         F.min("user_id").alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("step_length"),
-        *([F.collect_set(F.when(F.col("search_keyword").isin(keywords), F.col("search_keyword"))).alias("seen_keywords")] if keywords else []),
-        *([F.collect_set(F.when(F.col("click_category_id").isin(categories), F.col("click_category_id"))).alias("seen_categories")] if categories else []),
+        *_seen("search_keyword", keywords, "keyword"),
+        *_seen("click_category_id", categories, "category"),
     )
-    if not keywords:
-        session_days = session_days.withColumn("seen_keywords", F.array().cast("array<string>"))
-    if not categories:
-        session_days = session_days.withColumn("seen_categories", F.array().cast("array<bigint>"))
-
-    sessions = (
-        session_days.join(task_days(spark, tasks), "date")
+    with_users = join_users(session_days, users.withColumn("_known", F.lit(True)), "left", ["_known"])
+    fits = (
+        F.expr("start_age is null or age between start_age and end_age")
+        & F.expr("professionals is null or array_contains(professionals, professional)")
+        & F.expr("cities is null or array_contains(cities, city)")
+        & F.expr("task_sex is null or sex = task_sex")
+    )
+    passes = F.coalesce(F.col("_known") & fits, F.lit(False))
+    return (
+        with_users.join(task_days(spark, actions, tasks), "date")
+        .join(_params(spark, tasks, keywords, categories), "task_id")
         .groupBy("task_id", "session_id")
         .agg(
             F.min("user_id").alias("user_id"),
+            F.min(F.when(passes, F.col("user_id"))).alias("_passing"),
             F.min("start_time").alias("start_time"),
             F.max("end_time").alias("end_time"),
             F.sum("step_length").alias("step_length"),
-            F.bool_or(_hit("seen_keywords", "keywords")).alias("keyword_hit"),
-            F.bool_or(_hit("seen_categories", "category_ids")).alias("category_hit"),
+            F.bool_or(_hit("by_keyword", "keyword", width[0])).alias("keyword_hit"),
+            F.bool_or(_hit("by_category", "category", width[1])).alias("category_hit"),
         )
-        .where("keyword_hit and category_hit")
+        .where("keyword_hit and category_hit and user_id = _passing")
         .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time")))
-    )
-    params = task_frame(spark, tasks).select("task_id", "start_age", "end_age", "professionals", "cities", "task_sex")
-    params = broadcast_if(params, len(tasks))
-    return (
-        join_users(sessions, users)
-        .join(params, "task_id")
-        .where("start_age is null or age between start_age and end_age")
-        .where("professionals is null or array_contains(professionals, professional)")
-        .where("cities is null or array_contains(cities, city)")
-        .where("task_sex is null or sex = task_sex")
         .select("task_id", "session_id", "user_id", "start_time", "step_length", "visit_length")
     )
 
@@ -109,17 +172,21 @@ def task_session_categories(spark, actions: DataFrame, sessions: DataFrame, task
     """Counts per (task, session, category) for the filtered ``sessions`` of every task."""
     per_day = session_categories(actions, ("session_id", "date"))
     per_session = (
-        per_day.join(task_days(spark, tasks), "date")
+        per_day.join(task_days(spark, actions, tasks), "date")
         .groupBy("task_id", "session_id", "category_id")
         .agg(*[F.sum(c).alias(c) for c in COUNTS])
     )
     return only_sessions(per_session, sessions, BY_TASK)
 
 
-def rows_of(spark, actions: DataFrame, chosen: DataFrame, at_most: int, tasks: Sequence[Task]) -> DataFrame:
+def rows_of(
+    spark, actions: DataFrame, chosen: DataFrame, at_most: int, tasks: Sequence[Task], null_ids: bool = False,
+) -> DataFrame:
     """Actions of a bounded choice (task_id, session_id, tags), each inside its task's dates, which
-    travel with the choice."""
+    travel with the choice. ``null_ids``: those without a session id too."""
     dates = task_frame(spark, tasks).select("task_id", "start_date", "end_date")
     dated = chosen.join(broadcast_if(dates, len(tasks)), "task_id")
-    rows = actions.join(broadcast_if(dated, at_most), "session_id")
-    return rows.where("date between start_date and end_date").drop("start_date", "end_date")
+    dated = broadcast_if(dated.withColumnRenamed("session_id", "_id"), at_most)
+    same = F.col("session_id").eqNullSafe(F.col("_id")) if null_ids else F.col("session_id") == F.col("_id")
+    inside = "(start_date is null or date >= start_date) and (end_date is null or date <= end_date)"
+    return actions.join(dated, same).where(inside).drop("start_date", "end_date", "_id")

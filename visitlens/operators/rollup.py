@@ -72,21 +72,26 @@ def session_lists(actions: DataFrame, keys: Sequence[str] = ("session_id",)) ->
 
 
 def roll_up_with_lists(actions: DataFrame) -> DataFrame:
-    """:func:`roll_up` plus the two lists, in the same single shuffle.
+    """:func:`roll_up` plus the two lists.
 
     For callers that want the lists of *every* session; the job computes them for sampled ones only.
+    The lists come from distinct (session, value) pairs, which combine map-side like the measures: no
+    reducer gets the raw rows of a session.
     """
-    return (
-        actions.groupBy("session_id")
-        .agg(
-            *_measures(),
-            F.collect_set(non_empty(F.col("search_keyword"))).alias("_keywords"),
-            F.collect_set("click_category_id").alias("_categories"),
-        )
-        .select(
-            "session_id", "user_id", "start_time", "end_time", "step_length",
-            seconds_between(F.col("start_time"), F.col("end_time")).alias("visit_length"),
-            sorted_text(F.col("_keywords")).alias("search_keywords"),
-            non_empty(F.array_join(F.array_sort("_categories").cast("array<string>"), ",")).alias("click_category_ids"),
-        )
+    sessions = roll_up(actions)
+    keyword = non_empty(F.col("search_keyword"))
+    values = F.array(
+        F.struct(keyword.alias("keyword"), F.lit(None).cast("bigint").alias("category")),
+        F.struct(F.lit(None).cast("string").alias("keyword"), F.col("click_category_id").alias("category")),
+    )
+    pairs = (
+        actions.select("session_id", F.explode(values).alias("v")).select("session_id", "v.*")
+        .where("keyword is not null or category is not null").distinct()
+    )
+    lists = pairs.groupBy(F.col("session_id").alias("_id")).agg(
+        F.collect_list("keyword").alias("_keywords"), F.collect_list("category").alias("_categories"))
+    return sessions.join(lists, F.col("session_id").eqNullSafe(F.col("_id")), "left").select(
+        "session_id", "user_id", "start_time", "end_time", "step_length", "visit_length",
+        sorted_text(F.col("_keywords")).alias("search_keywords"),
+        non_empty(F.array_join(F.array_sort("_categories").cast("array<string>"), ",")).alias("click_category_ids"),
     )

@@ -58,7 +58,8 @@ def hour_quotas(hours: DataFrame, total: int = DEFAULT_TOTAL, by: Sequence[str]
 
 
 def ticket(seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col("session_id")).cast("binary"))
+    """A missing id draws like the empty one."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("session_id", F.lit(""))).cast("binary"))
 
 
 def sample_sessions(
@@ -71,7 +72,7 @@ def sample_sessions(
     tickets = (
         _by_hour(sessions)
         .select(*by, "session_id", "start_time", "day_hour", ticket(seed).alias("ticket"))
-        .withColumn("band", F.substring("ticket", 1, BAND_DIGITS))
+        .withColumn("band", F.conv(F.substring("ticket", 1, BAND_DIGITS), 16, 10).cast("int"))
     )
 
     bands = tickets.groupBy(*hour, "band").agg(F.count(F.lit(1)).alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +17,12 @@ def attributes(users: DataFrame) -> DataFrame:
     return users.select("user_id", *USER_ATTRIBUTES)
 
 
-def join_users(sessions: DataFrame, users: DataFrame, how: str = "inner") -> DataFrame:
+def join_users(sessions: DataFrame, users: DataFrame, how: str = "inner", more: Sequence[str] = ()) -> DataFrame:
     """Inner: sessions without a user and users without a session vanish. Left: sessions stay.
 
     No hint: Spark broadcasts a small user table, and splits skewed users of a large one.
     """
-    return sessions.join(attributes(users), "user_id", how)
+    return sessions.join(users.select("user_id", *USER_ATTRIBUTES, *more), "user_id", how)
 
 
 def measured_bytes(df: DataFrame) -> int:

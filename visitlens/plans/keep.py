@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _set_on_context(spark: SparkSession) -> str | None:
+    """The folder given to ``SparkContext.setCheckpointDir``, where there is such a context."""
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # no context behind a remote session
+        return None
+
+
 class Kept:
     """``with Kept(spark) as kept: df = kept.keep(df, 'name')``.
 
@@ -19,7 +28,10 @@ class Kept:
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self._spark = spark
-        root = spark.conf.get("spark.checkpoint.dir", None) or folder
+        root = spark.conf.get("spark.checkpoint.dir", None) or folder or _set_on_context(spark)
+        if root is None:
+            warnings.warn("neither spark.checkpoint.dir nor a work folder is set: intermediate results stay on "
+                          "the executors, and what a lost one held is computed again", stacklevel=3)
         self._folder = f"{root.rstrip('/')}/visitlens-{uuid.uuid4().hex}" if root else None
         self._persisted: list[DataFrame] = []
 

@@ -27,7 +27,7 @@ class ManyTasksPlan:
         if len({t.task_id for t in tasks}) != len(tasks):
             raise ValueError("task ids must be distinct")
         self.spark, self.total, self.seed = spark, total, seed
-        self.actions, self.tasks = bounded(actions, tasks)
+        self.actions, self.tasks = bounded(actions, tasks), list(tasks)
         self.sessions = task_sessions(spark, self.actions, users, self.tasks)
         self._per_session: DataFrame | None = None
 
@@ -61,7 +61,8 @@ class ManyTasksPlan:
         """``rows``: the sampled sessions' actions with their ``task_id``, if already at hand."""
         sampled = self.sampled() if sampled is None else sampled
         if rows is None:
-            rows = self._rows_of(sampled, ["start_time"], self.total)
+            chosen = sampled.select("task_id", "session_id", "start_time")
+            rows = rows_of(self.spark, self.actions, chosen, self.total * len(self.tasks), self.tasks, null_ids=True)
         else:
             columns = ["task_id", "session_id", "search_keyword", "click_category_id"]
             chosen = sampled.select("task_id", "session_id", "start_time")

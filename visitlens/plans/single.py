@@ -65,8 +65,10 @@ class TaskPlan:
         sampled = self.sampled() if sampled is None else sampled
         actions = self.actions if actions is None else actions
         columns = ["search_keyword", "click_category_id"]
-        chosen = broadcast_if(sampled.select("task_id", "session_id", "start_time"), self.total)
-        rows = actions.select("session_id", *columns).join(chosen, "session_id")
+        chosen = sampled.select("task_id", F.col("session_id").alias("_id"), "start_time")
+        # Null-safe: actions without a session id form one session, and it may be drawn.
+        rows = actions.select("session_id", *columns).join(
+            broadcast_if(chosen, self.total), F.col("session_id").eqNullSafe(F.col("_id")))
         lists = session_lists(rows, ["task_id", "session_id", "start_time"])
         return lists.withColumn("start_time", format_time(F.col("start_time"))).select(*SAMPLE_COLUMNS)
 

@@ -12,23 +12,28 @@ def write_by_task(df: DataFrame, path: str, task_ids: Sequence[int], fmt: str =
     """Replace these tasks' rows of the table at ``path``; other tasks' rows stay.
 
     Writing again gives the same table: a task's folder is overwritten as a whole. Dynamic
-    overwrite leaves the folder of a task without rows as it was, so such tasks, noticed by an
-    observation during the write, are overwritten with no rows.
+    overwrite leaves the folder of a task without rows as it was; the tasks that had rows are
+    noticed during the write, and the others' folders are emptied without further jobs.
     """
     seen = Observation()
-    counts = [F.count_if(F.col("task_id") == i).alias(f"task_{i}") for i in task_ids]
     (
-        df.observe(seen, *counts)
+        df.observe(seen, F.collect_set("task_id").alias("tasks"))
         .write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("task_id")
         .save(path)
     )
-    written = seen.get
-    for i in task_ids:
-        if not written[f"task_{i}"]:
-            empty = df.sparkSession.createDataFrame([], df.drop("task_id").schema)
-            empty.write.format(fmt).mode("overwrite").save(f"{path}/task_id={i}")
+    missing = sorted(set(task_ids) - set(seen.get["tasks"]))
+    if not missing:
+        return
+    # One file without rows keeps the table readable, should no task have any.
+    empty = df.sparkSession.createDataFrame([], df.drop("task_id").schema)
+    empty.coalesce(1).write.format(fmt).mode("overwrite").save(f"{path}/task_id={missing[0]}")
+    context = df.sparkSession.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    for i in missing[1:]:
+        folder = hadoop.Path(f"{path}/task_id={i}")
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def rebalanced(df: DataFrame) -> DataFrame:

@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.operators.bounds import reshuffled
 from visitlens.schemas import ACTION_COLUMNS, TASK_COLUMNS, USER_COLUMNS
 
 # Fixed values of the mapping.
 FIRST_DAY = "2024-01-01"
 KEYWORDS = ["hotpot", "cake", "fish hotpot", "noodles", "sushi", "mall", "tower", "hot spring", "bbq", "tea"]
+UNKNOWN_USERS = 1_000_000_000
 TIME_DIVISORS = [1, 20, 120, 900, 3000, 9000]
 
 
@@ -34,10 +34,14 @@ def _category(k: Column) -> Column:
     return F.floor(k * k / 500)
 
 
-def _session_id(ts: Column, user_id: Column) -> Column:
-    span = F.when(user_id % 10 == 0, 30).when(user_id % 10 == 5, 15).otherwise(1)
-    day = F.datediff(ts.cast("date"), F.lit(FIRST_DAY).cast("date"))
-    return F.concat(F.lit("u"), user_id.cast("string"), F.lit("_"), F.floor(day / span).cast("string"))
+def _span(user_id: Column) -> Column:
+    """Days a session lasts at most."""
+    return F.when(user_id % 10 == 0, 30).when(user_id % 10 == 5, 15).otherwise(1)
+
+
+def _part(ts: Column, user_id: Column) -> Column:
+    """Number of the session among its user's."""
+    return F.floor(F.datediff(ts.cast("date"), F.lit(FIRST_DAY).cast("date")) / _span(user_id))
 
 
 def derived_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,19 +50,18 @@ def derived_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     kind = F.col("event_type")
 
-    stream = events.select(
+    timed = events.select(
         user_id,
-        _session_id(ts, user_id).alias("session_id"),
+        _part(ts, user_id).alias("part"),
         F.unix_seconds(ts.cast("timestamp")).alias("s"),
         event_id, kind, F.floor("value").alias("product"), k.alias("k"),
     )
-    # Session starts as an aggregate joined back, not a window: a huge session can then be split
-    # over tasks instead of being sorted in one.
-    starts = stream.groupBy("session_id").agg(F.min("s").alias("s0"))
-    timed = stream.join(reshuffled(starts), "session_id")
-
+    # Times are compressed towards the first midnight of the session's days, which every row knows by
+    # itself, and shifted by an hour that depends on user and part: no join, one scan.
     divisor = F.element_at(F.array(*map(F.lit, TIME_DIVISORS)), (user_id % 6 + 1).cast("int"))
-    action_time = F.timestamp_seconds(F.col("s0") + F.floor((F.col("s") - F.col("s0")) / divisor))
+    midnight = F.unix_seconds(F.lit(FIRST_DAY).cast("timestamp_ntz").cast("timestamp")) + F.col("part") * _span(user_id) * 86400
+    hour = (user_id * 7 + F.col("part") * 5) % 24
+    action_time = F.timestamp_seconds(midnight + hour * 3600 + F.floor((F.col("s") - midnight) / divisor))
     c1 = _category(F.col("k"))
     c2 = _category((F.col("k") + 7) % 100)
     ids = F.when(event_id % 3 == 0, F.concat_ws(",", c1.cast("string"), c2.cast("string"))).otherwise(c1.cast("string"))
@@ -66,6 +69,7 @@ def derived_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyword = F.element_at(F.array(*map(F.lit, KEYWORDS)), F.col("k") % 10 + 1)
 
     columns = {
+        "session_id": F.concat(F.lit("u"), user_id.cast("string"), F.lit("_"), F.col("part").cast("string")),
         "date": action_time.cast("date"),
         "page_id": event_id % 10,
         "action_time": action_time,
@@ -77,7 +81,9 @@ def derived_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pay_category_ids": F.when(kind == "signup", ids),
         "pay_product_ids": F.when(kind == "signup", product.cast("string")),
     }
-    return timed.withColumns(columns).select(*ACTION_COLUMNS)
+    # Some users are in no user table, so that joins have sessions to drop.
+    unknown = F.when(user_id % 50 == 49, user_id + UNKNOWN_USERS).otherwise(user_id)
+    return timed.withColumns(columns).withColumn("user_id", unknown).select(*ACTION_COLUMNS)
 
 
 def derived_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +91,6 @@ def derived_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return (
         _table(spark, sf_dir, "customer")
-        .where(key % 50 != 49)
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             key.alias("user_id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -10,6 +11,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+CATEGORY_ID = re.compile("-?[1-9][0-9]{0,18}|0")
+
 # Parameter key -> our column.
 PARAM_KEYS = {
     "startDate": "start_date",
@@ -71,8 +74,8 @@ class Task:
 
         categories = _items(texts["category_ids"])
         if categories is not None:
-            # Ids match as text, so '07' is not 7.
-            categories = tuple(int(c) for c in categories if c.isdecimal() and str(int(c)) == c)
+            # Ids match as text, so '07' is not 7; what no bigint can be, no action can hold.
+            categories = tuple(int(c) for c in categories if CATEGORY_ID.fullmatch(c) and -(2**63) <= int(c) < 2**63)
         return cls(
             task_id=task_id,
             start_date=day("start_date"),
@@ -105,10 +108,11 @@ class Task:
         return self.start_age, self.end_age
 
 
-def load_tasks(tasks: DataFrame, task_ids: Sequence[int]) -> list[Task]:
+def load_tasks(tasks: DataFrame, task_ids: Sequence[int], bad: dict[int, str] | None = None) -> list[Task]:
     """The rows with these ids, as values for building plans: parameters, not data.
 
     The ids are literals, so the filter reaches the source (a jdbc WHERE, a parquet filter).
+    A task whose parameters cannot be read raises; given ``bad``, it is left out and noted there.
     """
     wanted = tasks.where(F.col("task_id").isin([int(i) for i in task_ids]))
     found: dict[int, Task] = {}
@@ -116,11 +120,16 @@ def load_tasks(tasks: DataFrame, task_ids: Sequence[int]) -> list[Task]:
         if row["task_id"] in found:
             raise ValueError(f"task {row['task_id']} is in the task table more than once")
         texts = row.asDict()
-        found[row["task_id"]] = Task.from_texts(texts.pop("task_id"), texts)
-    missing = sorted(set(task_ids) - set(found))
+        try:
+            found[row["task_id"]] = Task.from_texts(texts.pop("task_id"), texts)
+        except ValueError as error:
+            if bad is None:
+                raise
+            bad[row["task_id"]] = str(error)
+    missing = sorted(set(task_ids) - set(found) - set(bad or ()))
     if missing:
         raise LookupError(f"no such task: {missing}")
-    return [found[i] for i in dict.fromkeys(task_ids)]
+    return [found[i] for i in dict.fromkeys(task_ids) if i in found]
 
 
 def load_task(tasks: DataFrame, task_id: int) -> Task:
