@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from visitlens.llm.common import Shelf, arrow_schema, kind_of, map_batches, read, rows_batch
 from visitlens.llm.graph import components
+from visitlens.operators.bounds import broadcast_if
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -270,7 +271,9 @@ def exact_links(members: DataFrame, docs: DataFrame, words: int, threshold: floa
         .select("task", "set", "own", "first", "second", "doc_id", "k1", "k2", "copies")
     )
     texts = docs.select(F.col("doc_id").alias("_id"), *text_key(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = texts.join(dealt, ["k1", "k2"]).filter(F.col("_id").eqNullSafe(F.col("doc_id")))
+    # Few members travel to the texts; more than the bound, and the texts are shuffled to them.
+    most = members.agg(F.sum(F.ceil(F.col("n") / block))).collect()[0][0] or 0
+    rows = texts.join(broadcast_if(dealt, most), ["k1", "k2"]).filter(F.col("_id").eqNullSafe(F.col("doc_id")))
     rows = rows.select("task", "set", "own", "first", "second", "copies", "text")
     schema = "set long, links long, texts long, least long"
     target = arrow_schema(schema)
@@ -330,8 +333,8 @@ def classes(
     found = components(candidate_edges(sets, shelf, threshold, tokens, depth, small, runs), shelf)
     groups = shelf.keep(found, "groups")
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    members = texts.join(groups.withColumnRenamed("node", "set"), "set").join(sizes, "root")
-    compared = shelf.keep(exact_links(shelf.keep(members, "members"), docs, words, threshold, block), "compared")
+    members = shelf.keep(texts.join(groups.withColumnRenamed("node", "set"), "set").join(sizes, "root"), "members")
+    compared = shelf.keep(exact_links(members, docs, words, threshold, block), "compared")
     roots = shelf.keep(components(compared.select(F.col("set").alias("a"), F.col("least").alias("b")), shelf), "roots")
     links = compared.groupBy("set").agg(F.sum("links").alias("links"), F.sum("texts").alias("n_texts"))
     every = (
