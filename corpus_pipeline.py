@@ -9,11 +9,20 @@ reads it again for the next.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from visitlens.llm import packing, personal, similarity, substrings, toxicity
 from visitlens.llm.common import Shelf, read
 
 
+def measured(docs: DataFrame, before: DataFrame) -> DataFrame:
+    """``n_chars`` of changed texts, with the type it had; other columns as they are."""
+    if "n_chars" not in before.columns:
+        return docs
+    size = F.char_length("text").cast(before.schema["n_chars"].dataType)
+    return docs.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(size))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.Model.learn(docs, read(spark, sf_dir, "labels")).clean(docs)
 
@@ -23,11 +32,11 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return substrings.without_repeats(spark, docs)
+    return measured(substrings.without_repeats(spark, docs), docs)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return personal.redacted(docs, personal.learn(docs))
+    return measured(personal.redacted(docs, personal.learn(docs)), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
