@@ -135,12 +135,15 @@ def with_next(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame, W
     found = rows.agg(F.percentile_approx("doc_id", shares, 100 * buckets).alias("b")).collect()[0]["b"] if buckets > 1 else None
     bounds = sorted(set(found or ()))
     keyed = rows.withColumn("bucket", bucket_of(bounds))
-    heads = keyed.groupBy("bucket").agg(
-        F.min("doc_id").alias("id"), F.max(F.col("doc_id").isNull()).alias("none")).orderBy("bucket").collect()
-    following = [(heads[i - 1]["bucket"], None if head["none"] else head["id"], head["bucket"]) for i, head in enumerate(heads)]
-    table = spark.createDataFrame(following, f"at int, id {docs.schema['doc_id'].dataType.simpleString()}, of int")
+    # One row per bucket: its first id, and the bucket before it (before the first: the last).
+    line = Window.orderBy("of")
+    every = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = keyed.groupBy(F.col("bucket").alias("of")).agg(
+        F.min("doc_id").alias("least"), F.max(F.col("doc_id").isNull()).alias("none"))
+    heads = heads.select(
+        "of", F.when(~F.col("none"), F.col("least")).alias("id"), F.coalesce(F.lag("of").over(line), F.max("of").over(every)).alias("at"))
     ghosts = (
-        keyed.join(F.broadcast(table), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("bucket") == F.col("of")))
+        keyed.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("bucket") == F.col("of")))
         .groupBy("at", "id").agg(F.min("text").alias("text"))
         .select(F.col("at").alias("bucket"), F.lit(1).alias("ghost"), F.col("id").alias("doc_id"), "text")
     )
