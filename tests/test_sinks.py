@@ -38,3 +38,11 @@ def test_jdbc_options():
     got = jdbc_options("jdbc:x://host/db", "top10_category", 4, user="me")
     assert got == {"url": "jdbc:x://host/db", "dbtable": "top10_category", "batchsize": "1000",
                    "numPartitions": "4", "user": "me"}
+
+
+def test_no_job_per_task_without_rows(spark, tmp_path):
+    path = str(tmp_path / "out")
+    many = list(range(300))
+    write_by_task(table(spark, [(i, "a", i) for i in range(0, 300, 100)]), path, many)
+    write_by_task(table(spark, [(7, "b", 1)]), path, many)
+    assert values(spark.read.parquet(path), "task_id", "session_id") == [(7, "b")]
