@@ -33,7 +33,7 @@ from visitlens.llm.common import arrow_schema, kind_of, read, rows_batch
 
 SPACE = "▁"
 LONGEST_WORD = 60
-BUCKET_DOCUMENTS = 4096
+BUCKET_DOCUMENTS = 512  # the edges of their words are sorted in one task; they should fit in its memory
 UNKNOWN = -1e10
 
 
@@ -141,7 +141,9 @@ def viterbi_ids(lattice: Column, n: Column) -> Column:
 
 def encoded_words(words: DataFrame, keys: list[str], vocabulary: Vocabulary, method: str = "merge") -> DataFrame:
     """``keys`` and ``ids`` of every row of ``words`` (distinct by ``keys``, at most LONGEST_WORD characters)."""
-    lattice = F.collect_list(F.struct((-F.col("score")).alias("order"), "from", "to", "ids", "score"))
+    # What the fold does not need would be sorted for nothing.
+    needed = [(-F.col("score")).alias("order"), "from", "to", "ids"] + (["score"] if method == "viterbi" else [])
+    lattice = F.collect_list(F.struct(*needed))
     grouped = edges(words, keys, vocabulary).groupBy(*keys).agg(F.max("n").alias("n"), lattice.alias("lattice"))
     fold = {"merge": merged_ids, "viterbi": viterbi_ids}[method]
     return grouped.select(*keys, fold(F.col("lattice"), F.col("n")).alias("ids"))
