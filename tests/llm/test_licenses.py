@@ -43,3 +43,15 @@ def test_whole_table(spark):
     expected = sorted((r["doc_id"], name) for r in docs for line in r["text"].split("\n") for name, text in TEMPLATES.items() if line == text)
     found = licenses.op7_conditional_compression(spark, "/root/testdata/sf0.01").filter("license is not null").collect()
     assert set(expected) <= {(r["doc_id"], r["license"]) for r in found}
+
+
+def test_every_licence_of_a_block_is_found(spark):
+    names = ["MIT-notice", "CC-BY-4.0-notice", "GPL-2.0-notice", "GPL-3.0-notice", "LGPL-2.1-notice", "AGPL-3.0-notice", "MIT", "ISC", "MIT-notice"]
+    rows = [(1, "Released under the MIT License.\nLicensed under CC BY 4.0."), (2, "\n".join(TEMPLATES[n] for n in names)),
+            (3, "\n".join(["SPDX-License-Identifier: MIT", "Some other licence terms", "SPDX-License-Identifier: 0BSD"] * 400))]
+    found = licenses.scan(documents(spark, rows)).orderBy("doc_id", "block").collect()
+    assert [r["license"] for r in found if r["doc_id"] == 1] == ["MIT-notice", "CC-BY-4.0-notice"]
+    assert [(r["block"], r["license"], r["n_diff"]) for r in found if r["doc_id"] == 2] == [(i, n, 0) for i, n in enumerate(names)]
+    assert [r["license"] for r in found if r["doc_id"] == 3] == ["SPDX", None, "SPDX"] * 400
+    texts = dict(rows)
+    assert texts[1][found[1]["first_char"]:found[1]["last_char"]] == "Licensed under CC BY 4.0"
