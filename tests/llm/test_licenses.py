@@ -45,6 +45,26 @@ def test_whole_table(spark):
     assert set(expected) <= {(r["doc_id"], r["license"]) for r in found}
 
 
+def published(name: str, marker: str) -> str:
+    """The template in paragraphs of short lines, each behind a comment marker."""
+    import re
+    import textwrap
+
+    paragraphs = re.split(r"(?<=conditions:) |(?<=Software\.) (?=THE)|(?<=copies\.) |(?<=met:) |(?<=License\.) |(?<=version\.) |(?= at http) |(?<=LICENSE-2\.0) |(?=[23]\. )",
+                          " ".join(TEMPLATES[name].split()))
+    assert len(paragraphs) > 1, name
+    lines = [line for paragraph in paragraphs for line in (*textwrap.wrap(paragraph, 60), "")]
+    return "\n".join((marker + line).rstrip() for line in lines)
+
+
+def test_published_layouts_and_comment_markers(spark):
+    names = ["MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0-or-later", "GPL-3.0-or-later"]
+    wanted = [(name, marker) for name in names for marker in ("", "# ", " * ", "// ", ";; ")]
+    rows = [(i, f"{prose(1, 30)}\n{published(*pair)}\n{prose(2, 30)}") for i, pair in enumerate(wanted)]
+    got = licenses.scan(documents(spark, rows)).filter("license is not null").collect()
+    assert sorted((r["doc_id"], r["license"], r["n_diff"]) for r in got) == [(i, name, 0) for i, (name, _) in enumerate(wanted)]
+
+
 def test_every_licence_of_a_block_is_found(spark):
     names = ["MIT-notice", "CC-BY-4.0-notice", "GPL-2.0-notice", "GPL-3.0-notice", "LGPL-2.1-notice", "AGPL-3.0-notice", "MIT", "ISC", "MIT-notice"]
     rows = [(1, "Released under the MIT License.\nLicensed under CC BY 4.0."), (2, "\n".join(TEMPLATES[n] for n in names)),

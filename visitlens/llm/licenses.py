@@ -1,7 +1,8 @@
 """Licence scan by conditional compression.
 
 Candidate blocks are runs of lines that speak of licences, with the lines next to them that are
-mostly made of the templates' words. In a block every template is compared word by word with every
+mostly made of the templates' words; lines without words (blank, or a comment marker alone) do not
+end a run that goes on behind them. In a block every template is compared word by word with every
 window that holds enough of its words to be a close wording, and fits where the fewest words differ;
 the fit ends where the template stops matching. Of fits that overlap, the one with the fewest
 differing words stays, then the longer template, then the one that, as a raw zstandard dictionary,
@@ -62,18 +63,23 @@ def blocks(text: str, vocabulary: frozenset[str]) -> Iterator[tuple[int, int]]:
             like[i] = bool(words) and sum(w in vocabulary for w in words) >= NEIGHBOUR_SHARE * len(words)
         return like[i]
 
-    i = 0
+    def worded(i: int, step: int) -> int:
+        while 0 <= i < len(spans) and not WORD.search(text, *spans[i]):
+            i += step
+        return i
+
+    i = floor = 0
     while i < len(spans):
         if not keyword[i]:
             i += 1
             continue
         first = last = i
-        while first > 0 and licence_like(first - 1):
-            first -= 1
-        while last + 1 < len(spans) and (keyword[last + 1] or licence_like(last + 1)):
-            last += 1
+        while (near := worded(first - 1, -1)) >= floor and licence_like(near):
+            first = near
+        while (near := worded(last + 1, 1)) < len(spans) and (keyword[near] or licence_like(near)):
+            last = near
         yield spans[first][0], spans[last][1]
-        i = last + 1
+        i = floor = last + 1
 
 
 def fit(block: list[str], template: list[str]) -> tuple[int, int, int, str] | None:
