@@ -6,7 +6,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tests.llm.rows import documents, edge_rows
+from tests.llm.rows import documents, edge_rows, prose
 from visitlens.llm import personal
 from visitlens.llm.common import read
 
@@ -100,3 +100,28 @@ def test_added_spans_and_awkward_rows(spark):
     assert clean.columns == documents(spark, rows).columns
     assert personal.search(documents(spark, []), field).collect() == []
     assert personal.learn(documents(spark, [])).weights == {}
+
+
+def test_many_shapes_leave_no_kind_unlearned(spark):
+    signs = "!#$%&'()*+,-./:;<=>?[]^_{|}~"
+    odd = [f"7{a}8{b}9" for a in signs for b in signs]
+    rows = [(i, f"see {' and '.join(odd[i::30])} there") for i in range(30)]
+    rows += [(100 + i, f"{prose(i, 9)} call +1 (131) 555-{7000 + i} or a{i}.b@c.org") for i in range(30)]
+    rows += [(200 + i, f'{prose(i, 9)} token = "{hashlib.sha1(str(i).encode()).hexdigest()}" it') for i in range(30)]
+    docs = documents(spark, rows)
+    assert len({personal.shape_of(x)[:12] for x in odd}) > 400
+    for field in (personal.learn(docs), personal.learn(docs, most_regions=60)):
+        assert {"phone", "email", "secret"} <= {key[0] for key in field.weights}
+        text = f'token = "{hashlib.sha1(b"x").hexdigest()}" it'
+        assert [kind for _, kind, _ in personal.find(text, field)[1]] == ["secret"]
+
+
+def test_regions_take_turns_by_kind_and_shape():
+    def row(order, kinds, shape):
+        return {"order": order, "kinds": kinds, "shape": shape, "text": "", "start": 0}
+
+    rows = [row(i, "", f"9{i}") for i in range(900)] + [row(1000 + i, "phone", f"+{i % 300}") for i in range(900)] + [row(5000, "secret", "a")]
+    picked = personal.in_turn(rows, 240)
+    assert len(picked) == 240 and {r["kinds"] for r in picked} == {"", "phone", "secret"}
+    assert len({r["shape"] for r in picked if r["kinds"] == "phone"}) == sum(r["kinds"] == "phone" for r in picked) > 100
+    assert personal.in_turn(rows[::-1], 240) == picked and len(personal.in_turn(rows, 5000)) == len(rows)

@@ -21,8 +21,9 @@ import hashlib
 import math
 import re
 from bisect import bisect_left
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator
+from itertools import zip_longest
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ KINDS = (*BASE_KINDS, "secret")
 OUTSIDE = "-"
 MAX_TOKENS = 16
 LEARN_DOCUMENTS = 6000
-LEARN_REGIONS = 240
+LEARN_REGIONS = 2400
 EPOCHS = 4
 RATE = 0.15
 SEED = 5
@@ -297,15 +298,38 @@ def gold_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
+def in_turn(rows: list, most: int) -> list:
+    """At most ``most`` regions. Every set of kinds gives one a turn, regions without kinds as many as all sets together.
+
+    Inside a set the shapes take turns in the order of their least hash. So neither frequent shapes nor
+    many shapes of one kind crowd out others.
+    """
+    by_kinds: dict = defaultdict(lambda: defaultdict(list))
+    for row in sorted(rows, key=lambda r: (r["order"], r["text"], r["start"])):
+        by_kinds[row["kinds"]][row["shape"]].append(row)
+    queues = {
+        kinds: deque(row for rank in zip_longest(*shapes.values()) for row in rank if row is not None)
+        for kinds, shapes in sorted(by_kinds.items())
+    }
+    none = queues.pop("", deque())
+    picked: list = []
+    while len(picked) < most and (none or any(queues.values())):
+        turn = [queue.popleft() for queue in queues.values() if queue]
+        turn += [none.popleft() for _ in range(min(len(none), len(turn) or len(none)))]
+        picked += turn[:most - len(picked)]
+    return picked
+
+
 def learn(
     docs: DataFrame, documents: int = LEARN_DOCUMENTS, most_regions: int = LEARN_REGIONS, seed: int = SEED,
 ) -> Field:
     """Train on regions of about ``documents`` documents (least id hash), at most ``most_regions``.
 
-    Regions are taken in turn from each shape, so that frequent shapes do not crowd out rare ones.
+    ``in_turn`` says which.
     """
     learning = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    target = arrow_schema("order long, shape string, text string, start long, end long, spans string")
+    schema = "order long, kinds string, shape string, text string, start long, end long, spans string"
+    target = arrow_schema(schema)
 
     def cut(batches: Iterator) -> Iterator:
         for batch in batches:
@@ -318,21 +342,13 @@ def learn(
                     low = max(0, start - 40)
                     inside = [f"{a - low}:{kind}:{b - low}" for a, kind, b in gold if start <= a and b <= end]
                     key = hashlib.sha256(f"{seed} {doc_id} {start}".encode()).digest()
-                    shape = shape_of(text[start:end])
-                    kinds = "+".join(s.split(":")[1] for s in inside) or "none " + shape[:12]
-                    rows.append((int.from_bytes(key[:7], "big"), kinds, text[low:end + 40], start - low, end - low, ",".join(inside)))
+                    kinds = "+".join(sorted({s.split(":")[1] for s in inside}))
+                    rows.append((int.from_bytes(key[:7], "big"), kinds, shape_of(text[start:end])[:12], text[low:end + 40], start - low, end - low, ",".join(inside)))
             yield rows_batch(rows, target)
 
     chosen = sample_by_hash(learning, documents, seed)
-    by_shape = defaultdict(list)
-    for row in map_batches(chosen, cut, "order long, shape string, text string, start long, end long, spans string").collect():
-        by_shape[row["shape"]].append(row)
-    queues = [sorted(by_shape[shape], key=lambda r: (r["order"], r["text"])) for shape in sorted(by_shape)]
-    picked = []
-    while len(picked) < most_regions and any(queues):
-        picked += [queue.pop(0) for queue in queues if queue][: most_regions - len(picked)]
     examples = []
-    for row in picked:
+    for row in in_turn(map_batches(chosen, cut, schema).collect(), most_regions):
         gold = [(int(a), kind, int(b)) for a, kind, b in (s.split(":") for s in row["spans"].split(",") if s)]
         examples.append((row["text"], row["start"], row["end"], gold))
     return Field().learn(examples)
