@@ -63,3 +63,10 @@ def test_held_out_accuracy(spark):
     rows = found.join(read(spark, "/root/testdata/sf0.1", "labels"), "doc_id").select("toxic", "predicted").collect()
     toxic, clean = ([r["predicted"] for r in rows if r["toxic"] == t] for t in (1, 0))
     assert np.mean(toxic) > 0.9 and np.mean(clean) < 0.01
+
+
+def test_every_telling_term_has_a_dimension(spark):
+    rows = [(i, prose(i, 20) + (f" xq{i // 2 % 300}z" if i % 2 else ""), i % 2) for i in range(3000)]
+    sample = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    terms = {term for term, _ in toxicity.learn_terms(sample)[0]}
+    assert {f"=xq{i}z" for i in range(300)} <= terms

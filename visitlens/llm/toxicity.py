@@ -36,9 +36,8 @@ from visitlens.llm.common import (
 
 EXAMPLES_PER_LABEL = 2048
 LEARN_PER_LABEL = 4096
-TERMS = 256
+TERMS = 512
 LEAST_DOCUMENTS = 4
-LEAST_RATIO = 12.0  # of log-likelihoods; below, a term says too little to have a dimension
 PREFIXES = (4, 5, 6, 7)
 NEIGHBOURS = 15
 BLOCK = 256
@@ -53,7 +52,7 @@ def terms_of(word: str) -> list[str]:
 
 
 def learn_terms(
-    sample: DataFrame, most: int = TERMS, least: int = LEAST_DOCUMENTS, least_ratio: float = LEAST_RATIO,
+    sample: DataFrame, most: int = TERMS, least: int = LEAST_DOCUMENTS,
 ) -> tuple[list[tuple[str, float]], float]:
     """The terms with their inverse document frequency, and that of the shared dimension."""
     def count(batches: Iterator) -> Iterator:
@@ -81,7 +80,6 @@ def learn_terms(
     ratio = part(F.col("toxic"), toxic / (toxic + clean)) + part(F.col("clean"), clean / (toxic + clean))
     best = (
         counted.filter((F.col("term") != "documents") & (total >= least) & (F.col("toxic") * clean > F.col("clean") * toxic))
-        .filter(2 * ratio >= least_ratio)
         .orderBy(F.round(ratio, 9).desc(), "term").limit(most).collect()
     )
     size = clean + toxic
