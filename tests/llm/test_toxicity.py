@@ -68,5 +68,13 @@ def test_held_out_accuracy(spark):
 def test_every_telling_term_has_a_dimension(spark):
     rows = [(i, prose(i, 20) + (f" xq{i // 2 % 300}z" if i % 2 else ""), i % 2) for i in range(3000)]
     sample = spark.createDataFrame(rows, "doc_id long, text string, label int")
-    terms = {term for term, _ in toxicity.learn_terms(sample)[0]}
+    terms = set(toxicity.learn_terms(sample))
     assert {f"=xq{i}z" for i in range(300)} <= terms
+
+
+def test_document_frequencies_are_those_of_all_documents(spark):
+    rows = [(i, prose(i, 20) + (" vile vile" if i % 20 == 0 else "")) for i in range(400)] + [(500, None), (501, "")]
+    known = labels(spark, [(i, 1, int(i % 20 == 0)) for i in range(0, 400, 10)])
+    model = toxicity.Model.learn(documents(spark, rows), known, block=8)
+    assert np.isclose(dict(model.terms)["=vile"], np.log(403 / 21) + 1)
+    assert np.isclose(model.shared, np.log(403 / 401) + 1)

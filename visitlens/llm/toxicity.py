@@ -2,7 +2,7 @@
 
 Terms are whole words and the first four to seven letters of words; those that tell the labels apart
 best (log-likelihood ratio over a bounded sample of labelled documents) keep a dimension of their
-own, all other words share one. Bounded numbers of labelled documents of either label are the
+own, all other words share one. Document frequencies are counted over all documents. Bounded numbers of labelled documents of either label are the
 examples.
 
 The examples' vectors form an inverted index with postings in blocks of examples, and the greatest
@@ -53,8 +53,8 @@ def terms_of(word: str) -> list[str]:
 
 def learn_terms(
     sample: DataFrame, most: int = TERMS, least: int = LEAST_DOCUMENTS,
-) -> tuple[list[tuple[str, float]], float]:
-    """The terms with their inverse document frequency, and that of the shared dimension."""
+) -> list[str]:
+    """The terms that tell the labels apart best, in that order."""
     def count(batches: Iterator) -> Iterator:
         for batch in batches:
             found: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -73,7 +73,7 @@ def learn_terms(
     )
     whole = {row["term"]: row for row in counted.filter("term = 'documents'").collect()}
     if not whole or not whole["documents"]["clean"] or not whole["documents"]["toxic"]:
-        return [], 1.0
+        return []
     clean, toxic = float(whole["documents"]["clean"]), float(whole["documents"]["toxic"])
     total = F.col("clean") + F.col("toxic")
     part = lambda n, share: F.when(n > 0, n * F.log(n / (total * share))).otherwise(0.0)
@@ -82,9 +82,38 @@ def learn_terms(
         counted.filter((F.col("term") != "documents") & (total >= least) & (F.col("toxic") * clean > F.col("clean") * toxic))
         .orderBy(F.round(ratio, 9).desc(), "term").limit(most).collect()
     )
-    size = clean + toxic
-    idf = lambda df: math.log((size + 1) / (df + 1)) + 1
-    return [(row["term"], idf(row["clean"] + row["toxic"])) for row in best], 1.0
+    return [row["term"] for row in best]
+
+
+def weigh(terms: list[str], docs: DataFrame) -> tuple[list[tuple[str, float]], float]:
+    """The terms with their inverse document frequency over all of ``docs``, and that of the shared dimension."""
+    known = frozenset(terms)
+    schema = "term string, n long"
+    target = arrow_schema(schema)
+
+    def count(batches: Iterator) -> Iterator:
+        found: Counter = Counter()
+        seen: dict[str, tuple[str, ...]] = {}
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                words = set(WORD.findall(text.lower()))
+                held: set = set()
+                for word in words:
+                    own = seen.get(word)
+                    if own is None:
+                        if len(seen) > CACHED_WORDS:
+                            seen.clear()
+                        own = seen[word] = tuple(t for t in terms_of(word) if t in known)
+                    held.update(own)
+                found.update(held)
+                found["documents"] += 1
+                found["worded"] += bool(words)
+        yield rows_batch(list(found.items()), target)
+
+    counted = map_batches(ids_and_texts(docs), count, schema).groupBy("term").agg(F.sum("n").alias("n"))
+    df = dict(counted.collect()) if terms else {}
+    idf = lambda n: math.log((df.get("documents", 0) + 1) / (n + 1)) + 1
+    return [(term, idf(df.get(term, 0))) for term in terms], idf(df.get("worded", 0))
 
 
 class Vectoriser:
@@ -207,7 +236,7 @@ class Model:
         shares = dict(one_label(labels, "toxic").filter(~held_out()).groupBy("label").count().collect())
         prior = shares.get(1, 0) / max(1, sum(shares.values()))
         sample = labelled_sample(docs, labels, "toxic", learn_per_label, seed, by_label=True)
-        terms, shared = learn_terms(sample, most_terms)
+        terms, shared = weigh(learn_terms(sample, most_terms), docs)
         schema = "doc_id long, label int, place array<int>, weight array<double>"
         target = arrow_schema(schema)
 
