@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-BATCH_ROWS = 1000  # rows a task holds as Python objects at a time
+BATCH_ROWS = 1000  # rows a task holds as Python objects at a time,
+BATCH_BYTES = 4 << 20  # and bytes of Arrow data, where one row does not have more
 MOST_GROUPS = 10_000  # sizes of as many groups are sent to every task
 
 
@@ -119,14 +120,22 @@ class Shelf:
         where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def map_batches(df: DataFrame, work: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
-    """``mapInArrow``: ``work`` turns an iterator of Arrow batches into another. Batches are cut to BATCH_ROWS."""
-    def cut(batches: Iterator) -> Iterator:
-        for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_ROWS):
-                yield batch.slice(at, BATCH_ROWS)
+def slices(batch) -> Iterator:
+    """The batch in parts of at most BATCH_ROWS rows and BATCH_BYTES bytes; a row is not divided."""
+    for at in range(0, batch.num_rows, BATCH_ROWS):
+        parts = [batch.slice(at, BATCH_ROWS)]
+        while parts:
+            part = parts.pop()
+            half = part.num_rows // 2
+            if half and part.nbytes > BATCH_BYTES:
+                parts += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
 
-    return df.mapInArrow(lambda batches: work(cut(batches)), schema)
+
+def map_batches(df: DataFrame, work: Callable[[Iterator], Iterator], schema) -> DataFrame:
+    """``mapInArrow``: ``work`` turns an iterator of Arrow batches, cut by :func:`slices`, into another."""
+    return df.mapInArrow(lambda batches: work(part for batch in batches for part in slices(batch)), schema)
 
 
 def arrow_schema(ddl: str):

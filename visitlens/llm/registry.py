@@ -9,6 +9,7 @@ from visitlens.llm.packing import op10_vector_best_fit
 from visitlens.llm.personal import op6_semi_markov_pii
 from visitlens.llm.pieces import op8_relational_lattice
 from visitlens.llm.quality import op5_isolation_forest
+from visitlens.llm.runs import op13_synchronising_runs
 from visitlens.llm.similarity import op4_chosen_path_join
 from visitlens.llm.substrings import op2_prefix_doubling
 from visitlens.llm.toxicity import op1_block_max_toxicity
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_relational_lattice": op8_relational_lattice,
     "op9_hyperdimensional_language": op9_hyperdimensional_language,
     "op10_vector_best_fit": op10_vector_best_fit,
+    "op13_synchronising_runs": op13_synchronising_runs,
 }
 
 ORACLE: dict[str, str] = {}
