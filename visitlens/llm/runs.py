@@ -202,13 +202,14 @@ def runs_of(codes, sizes, exponent: int = EXPONENT) -> Found:
 def laid(texts: list[list[bytes]]):
     """Words as codes, equal for equal words; after each text a code of its own."""
     import numpy as np
+    from collections import defaultdict
+    from itertools import count
 
-    known: dict = {}
-    codes = []
+    known: dict = defaultdict(count().__next__)
+    parts = []
     for number, words in enumerate(texts):
-        codes += [known.setdefault(w, len(known)) for w in words]
-        codes.append(-1 - number)
-    return np.array(codes, dtype=np.int64), [len(words) for words in texts]
+        parts += [np.fromiter(map(known.__getitem__, words), np.int64, len(words)), np.array([-1 - number])]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64), [len(words) for words in texts]
 
 
 def in_texts(found: Found, sizes: list[int], least: int) -> list[list[tuple[int, int, int]]]:
