@@ -96,10 +96,11 @@ class Shelf:
         self._count = 0
         atexit.register(self.close)
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, *parts: str) -> DataFrame:
+        """The table, in a folder for every value of ``parts`` (few values)."""
         self._count += 1
         path = f"{self._root}/{name}-{self._count}"
-        df.write.parquet(path)
+        df.write.partitionBy(*parts).parquet(path) if parts else df.write.parquet(path)
         kept = self._spark.read.schema(df.schema).parquet(path)
         self._kept[id(kept)] = kept, path
         return kept
