@@ -1,0 +1,103 @@
+"""Path templates against their SQL twin (joins of siblings instead of folded arrays) and by hand."""
+
+import random
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.rows import by_row
+from visitlens.llm import urls
+
+COLUMNS = ("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+def pages(spark, rows):
+    table = spark.createDataFrame(rows, "page_id long, url string")
+    for name in ("host", "path", "n", "node", "label", "segments", "template", "action", "blocked"):
+        table = table.withColumn(name, F.lit("clash"))
+    return table
+
+
+@pytest.fixture
+def twin(tmp_path):
+    def run(rows):
+        import pandas as pd
+
+        con = duckdb.connect()
+        frame = pd.DataFrame(rows, columns=["page_id", "url"]).astype({"page_id": "Int64", "url": "string"})  # noqa: F841
+        con.sql("create table pages as select page_id::bigint as page_id, url::varchar as url from frame")
+        found = con.sql(urls.ORACLE)
+        assert sorted(found.columns) == sorted(COLUMNS)
+        return sorted(found.select(", ".join(COLUMNS)).fetchall(), key=repr)
+
+    return run
+
+
+def made(seed):
+    rng = random.Random(seed)
+    hosts = ["a.net", "b.net", "hot.x.net", "www.example.com", "example.com", "sub.example.com", "notexample.com", "c.org", "NET", "net"]
+    rows = []
+    for number in range(900):
+        host = "hot.x.net" if rng.random() < 0.35 else rng.choice(hosts)
+        parts = [rng.choice(["es", "fr", "en", "de", "EN", "es-x", "%C3%A9", "*int", "=es", ""])]
+        parts += [rng.choice([str(rng.randrange(500)), "page.html", f"p{rng.randrange(40)}.html", "tag", "x-y", "é", ""]) for _ in range(rng.choice([0, 1, 1, 1, 2, 3, 12]))]
+        tail = rng.choice(["", "", "?q=/es/", "#/fr/", "?a://b"])
+        rows.append((number, f"{rng.choice(['http', 'HTTPS', ''])}://{host}/{'/'.join(parts)}{tail}"))
+    rows += [(1000, None), (1001, ""), (1002, "no scheme"), (1003, "://"), (1004, "http://net"), (1005, "http://net?x"), (1006, "http:///p"),
+             (None, "http://a.net/es/1"), (1007, "http://net/es/1://com/"), (1008, "http://h/\n/x"), (1009, "http://net/" + "/".join(["s"] * 3000))]
+    return rows + rows[:20] + [(5000, "http://hot.x.net/en/7")] * 300
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_made_tables_equal_their_sql(spark, twin, seed):
+    rows = made(seed)
+    assert by_row(urls.judge(spark, pages(spark, rows)), *COLUMNS) == twin(rows)
+
+
+def test_hosts_paths_and_rules(spark):
+    cases = {
+        "http://WWW.Example.COM/en/1?x#y": ("www.example.com", "/en/1", "www.example.com/en/"),
+        "http://m.example.com/en/1": ("m.example.com", "/en/1", "example.com/en/"),
+        "https://x.www.example.com/en/": ("x.www.example.com", "/en/", "www.example.com/en/"),
+        "https://badexample.com/en/1": ("badexample.com", "/en/1", "com/"),
+        "http://a.net/es": ("a.net", "/es", None), "http://a.net/es/": ("a.net", "/es/", "net/es/"),
+        "ftp://net/fr/9": ("net", "/fr/9", "net/fr/"), "http://com": ("com", "", None), "http://com?/": ("com", "", None),
+        "x://É.com/": ("É.com", "/", "com/"), "mail:me": ("", "", None), None: ("", "", None), "http://h.com:80/": ("h.com:80", "/", None),
+    }
+    rows = list(enumerate(cases))
+    got = by_row(urls.judge(spark, pages(spark, rows)), "page_id", "host", "path", "rule")
+    assert got == sorted(((i, *cases[url]) for i, url in rows), key=repr)
+
+
+def test_a_template_spreads_a_verdict_to_pages_without_rules(spark):
+    """Rules hit some of the pages under /ads/<number>/ and /item/<number>; templates decide on the others."""
+    rules = [urls.Rule.of("block", f"shop.org/ads/{k}") for k in "123456789"[:7]] + [urls.Rule.of("allow", f"shop.org/item/{k}") for k in "1234567"]
+    rows = [(i, f"http://shop.org/{kind}/{100 + 37 * i}{end}") for kind, end in (("ads", "/go"), ("item", "")) for i in range(24)]
+    rows += [(99, "http://other.org/ads/900/go")]
+    found = urls.judge(spark, pages(spark, rows), rules).filter("rule is null")
+    assert found.filter("path like '/ads/%' and host = 'shop.org'").count() > 0
+    assert {r["verdict"] for r in found.filter("path like '/ads/%' and host = 'shop.org'").collect()} == {"block"}
+    assert {r["verdict"] for r in found.filter("path like '/item/%' or host <> 'shop.org'").collect()} == {"allow"}
+
+
+def test_like_branches_merge_and_unlike_ones_do_not(spark):
+    rows = [(i, f"http://h.org/{'abc'[i % 3]}/{i}{'/x' if i % 3 == 2 else ''}") for i in range(90)]
+    found = {r["path"][1]: r["template"] for r in urls.judge(spark, pages(spark, rows)).collect()}
+    assert found == {"a": "/=a/*int", "b": "/=a/*int", "c": "/=c/*int/=x"}
+
+
+def test_native_plan(spark):
+    plan = urls.judge(spark, pages(spark, made(1)[:50]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_empty_table(spark):
+    assert urls.judge(spark, pages(spark, [])).count() == 0
+
+
+def test_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.sql("create view pages as select * from '/root/testdata/sf0.01/pages.parquet'")
+    want = con.sql(urls.ORACLE).select(", ".join(COLUMNS)).fetchall()
+    assert by_row(urls.op11_path_templates(spark, "/root/testdata/sf0.01"), *COLUMNS) == sorted(want, key=repr)

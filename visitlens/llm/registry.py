@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from visitlens.llm import divergence
+from visitlens.llm import divergence, urls
 from visitlens.llm.fingerprints import op3_one_permutation_minhash
 from visitlens.llm.language import op9_hyperdimensional_language
 from visitlens.llm.licenses import op7_conditional_compression
@@ -26,10 +26,12 @@ QUERIES = {
     "op8_relational_lattice": op8_relational_lattice,
     "op9_hyperdimensional_language": op9_hyperdimensional_language,
     "op10_vector_best_fit": op10_vector_best_fit,
+    "op11_path_templates": urls.op11_path_templates,
     "op12_source_divergence": divergence.op12_source_divergence,
     "op13_synchronising_runs": op13_synchronising_runs,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_path_templates": urls.ORACLE,
     "op12_source_divergence": divergence.ORACLE,
 }
