@@ -39,7 +39,8 @@ NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 def terms_of(text: Column) -> Column:
     """Maximal stretches of letters and of characters beyond ASCII; only A-Z are lower-cased."""
-    lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    lower = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(  # ASCII alone: much faster
+        F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
     return F.filter(F.split(lower, NOT_TERM), lambda term: term != "")
 
 
