@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitlens.llm.common import Shelf, read
+from visitlens.operators.bounds import broadcast_if
 
 MIN_DF = 30
 VOCABULARY = 2**31 - 1
@@ -57,32 +58,36 @@ def share(count: str | Column, total: str | Column, n_terms: str | Column) -> Co
 class Sums:
     """Occurrences of the kept terms by source.
 
-    ``counts``: language, source, place, count (above 0); ``terms``: language, place, term; ``groups``:
-    language, source, all that occur; ``sizes``: language, n_terms. Languages are numbers, for which
-    ``names`` (language, lang) has the names.
+    ``groups``: language, number, lang, source: all that occur, the languages numbered, and the sources in
+    each; ``counts``: language, number, place, count (above 0); ``terms``: language, place, term; ``sizes``:
+    language, n_terms.
     """
 
     def __init__(self, spark: SparkSession, docs: DataFrame, shelf: Shelf, min_df: int):
         text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
         docs = docs.select(text("lang").alias("lang"), text("source").alias("source"), text("text").alias("text"))
-        langs = sorted(row["lang"] for row in docs.select("lang").distinct().collect())
-        self.names = spark.createDataFrame(list(enumerate(langs)), "language int, lang string")
-        tokens = docs.join(F.broadcast(self.names), "lang").select("language", "source", terms_of(F.col("text")).alias("terms"))
+        groups = docs.select("lang", "source").distinct()
+        langs = sorted(row["lang"] for row in groups.select("lang").distinct().collect())
+        names = spark.createDataFrame(list(enumerate(langs)), "language int, lang string")
+        number = F.row_number().over(Window.partitionBy("language").orderBy("source")) - 1
+        self.groups = shelf.keep(groups.join(F.broadcast(names), "lang").select("language", number.alias("number"), "lang", "source"), "groups")
+        tokens = docs.join(broadcast_if(self.groups, self.groups.count()), ["lang", "source"]).select(
+            "language", "number", terms_of(F.col("text")).alias("terms"))
         tokens = shelf.keep(tokens, "tokens", "language")
-        self.groups = shelf.keep(tokens.select("language", "source").distinct(), "groups")
         counts, terms, sizes = [], [], []
-        for number in range(len(langs)):
-            part = tokens.where(F.col("language") == number)
+        for language in range(len(langs)):
+            part = tokens.where(F.col("language") == language)
             vectors = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=VOCABULARY)
             model = vectors.fit(part)
-            entries = model.transform(part).select("source", F.unwrap_udt("vector").alias("v")).select(
-                "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-            entries = entries.groupBy("source", F.col("e.indices").alias("place")).agg(F.sum("e.values").cast("bigint").alias("count"))
-            counts.append(shelf.keep(entries.select(F.lit(number).alias("language"), "source", "place", "count"), "counts"))
-            found = [(number, place, term) for place, term in enumerate(model.vocabulary)]
+            entries = model.transform(part).select("number", F.unwrap_udt("vector").alias("v")).select(
+                "number", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
+            entries = entries.groupBy("number", F.col("e.indices").alias("place")).agg(
+                F.sum(F.col("e.values").cast("bigint")).alias("count"))
+            counts.append(shelf.keep(entries.select(F.lit(language).alias("language"), "number", "place", "count"), "counts"))
+            found = [(language, place, term) for place, term in enumerate(model.vocabulary)]
             terms.append(shelf.keep(spark.createDataFrame(found, "language int, place int, term string"), "terms"))
-            sizes.append((number, len(found)))
-        self.counts = _all(counts, spark, "language int, source string, place int, count bigint")
+            sizes.append((language, len(found)))
+        self.counts = _all(counts, spark, "language int, number int, place int, count bigint")
         self.terms = _all(terms, spark, "language int, place int, term string")
         self.sizes = spark.createDataFrame(sizes, "language int, n_terms int")
 
@@ -95,28 +100,27 @@ def _all(frames: list[DataFrame], spark: SparkSession, schema: str) -> DataFrame
 
 
 def shares(sums: Sums) -> tuple[DataFrame, DataFrame]:
-    """Of groups (language, source, number among the language's sources, n_terms, total, ``unused``: the
-    share of a term they lack), and of their terms (language, source, place, p)."""
-    totals = sums.counts.groupBy("language", "source").agg(F.sum("count").alias("total"))
+    """Of groups (n_terms, total, ``unused``: the share of a term they lack), and of their terms (language,
+    number, place, p)."""
+    totals = sums.counts.groupBy("language", "number").agg(F.sum("count").alias("total"))
     groups = (
-        sums.groups.join(totals, ["language", "source"], "left").fillna({"total": 0})
+        sums.groups.join(totals, ["language", "number"], "left").fillna({"total": 0})
         .join(F.broadcast(sums.sizes), "language")
-        .withColumn("number", F.row_number().over(Window.partitionBy("language").orderBy("source")) - 1)
         .withColumn("unused", F.when(F.col("n_terms") > 0, share(F.lit(0), "total", "n_terms")).otherwise(F.lit(0)).cast("bigint"))
     )
-    used = sums.counts.join(groups.select("language", "source", "total", "n_terms"), ["language", "source"])
-    return groups, used.select("language", "source", "place", share("count", "total", "n_terms").alias("p"))
+    used = sums.counts.join(groups.select("language", "number", "total", "n_terms"), ["language", "number"])
+    return groups, used.select("language", "number", "place", share("count", "total", "n_terms").alias("p"))
 
 
 def distances(groups: DataFrame, used: DataFrame, tile: int = TILE, width: int = WIDTH) -> DataFrame:
     """language, one, other (numbers of sources), value: summed differences of their shares of all terms."""
     blocks = F.expr(f"cast(sequence(0, greatest(n_terms - 1, 0) div {width}) as array<int>)")
-    every = groups.select("language", "source", "number", "unused", F.explode(blocks).alias("block"))
-    parts = used.groupBy("language", "source", F.expr(f"cast(place div {width} as int)").alias("block")).agg(
+    every = groups.select("language", "number", "unused", F.explode(blocks).alias("block"))
+    parts = used.groupBy("language", "number", F.expr(f"cast(place div {width} as int)").alias("block")).agg(
         F.collect_list(F.struct("place", "p")).alias("entries"))
     tiles = groups.groupBy("language").agg((F.max("number") / F.lit(tile)).cast("int").alias("last"))
     here = (F.col("number") / F.lit(tile)).cast("int")
-    rows = every.join(parts, ["language", "source", "block"], "left").join(F.broadcast(tiles), "language").select(
+    rows = every.join(parts, ["language", "number", "block"], "left").join(F.broadcast(tiles), "language").select(
         "language", "block", "number", "unused", "entries",
         F.explode(F.sequence(F.lit(0), F.col("last"))).alias("with"), here.alias("tile"))
     rows = rows.select("language", "block", "number", "unused", F.col("entries.place").alias("places"), F.col("entries.p").alias("shares"),
@@ -151,14 +155,14 @@ def distances(groups: DataFrame, used: DataFrame, tile: int = TILE, width: int =
 
 
 def telling_terms(sums: Sums, used: DataFrame, top: int = TOP_TERMS) -> DataFrame:
-    """language, source, item, value: terms a source has more often than its language, the first ``top``."""
+    """language, number, item, value, rank: terms a source has more often than its language, the first ``top``."""
     by_term = sums.counts.groupBy("language", "place").agg(F.sum("count").alias("count"))
     totals = by_term.groupBy("language").agg(F.sum("count").alias("total"))
     common = by_term.join(F.broadcast(totals), "language").join(F.broadcast(sums.sizes), "language").select(
         "language", "place", share("count", "total", "n_terms").alias("q"))
     found = used.join(common, ["language", "place"]).filter("p > q").join(sums.terms, ["language", "place"])
-    order = Window.partitionBy("language", "source").orderBy(F.desc("value"), "item")
-    found = found.select("language", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
+    order = Window.partitionBy("language", "number").orderBy(F.desc("value"), "item")
+    found = found.select("language", "number", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
 
@@ -173,13 +177,12 @@ def audit(spark: SparkSession, docs: DataFrame, min_df: int = MIN_DF, top: int =
     groups, used = shares(sums)
     groups, used = shelf.keep(groups, "shares"), shelf.keep(used, "used")
     pairs = distances(groups, used, tile, width)
-    names = groups.select("language", "number", "source")
-    pairs = pairs.join(names.withColumnRenamed("number", "one"), ["language", "one"]).join(
-        names.withColumnsRenamed({"number": "other", "source": "item"}), ["language", "other"])
-    order = Window.partitionBy("language", "source").orderBy(F.desc("value"), "item")
-    pairs = pairs.select("language", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
+    pairs = pairs.join(groups.select("language", F.col("number").alias("other"), F.col("source").alias("item")), ["language", "other"])
+    order = Window.partitionBy("language", "one").orderBy(F.desc("value"), "item")
+    pairs = pairs.select("language", F.col("one").alias("number"), F.lit("pair").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
     terms = telling_terms(sums, used, top).withColumn("part", F.lit("term"))
-    return pairs.unionByName(terms).join(F.broadcast(sums.names), "language").select("lang", "source", "part", "item", "value", "rank")
+    return pairs.unionByName(terms).join(groups.select("language", "number", "lang", "source"), ["language", "number"]).select(
+        "lang", "source", "part", "item", "value", "rank")
 
 
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
