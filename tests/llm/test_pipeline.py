@@ -3,12 +3,13 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
 from tests.llm.test_packing import reference_ids
 from tests.llm.test_similarity import plain as classes_of
 from tests.llm.test_substrings import plain as removed_of
-from visitlens.llm import packing, personal, toxicity
+from visitlens.llm import common, packing, personal, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,3 +69,21 @@ def test_stages_take_empty_tables_and_other_columns(spark):
             now = stage(spark, now, SF)
             assert now.columns == some.columns, name
         assert (corpus_pipeline.STAGES[-1][1](spark, now, SF).count() > 0) == (some.count() > 0)
+
+
+def test_batches_are_cut_by_rows_and_bytes():
+    """Rows stay in order; only a row that is larger by itself exceeds the bound."""
+    texts = ["x" * (2_000_000 if i % 300 == 0 else i % 7) for i in range(2500)]
+    batch = pa.RecordBatch.from_pydict({"i": list(range(2500)), "text": texts})
+    parts = list(common.slices(batch))
+    assert [t for part in parts for t in part["text"].to_pylist()] == texts
+    assert all(part.num_rows <= common.BATCH_ROWS and (part.num_rows == 1 or part.nbytes <= common.BATCH_BYTES) for part in parts)
+    assert list(common.slices(batch.slice(0, 0))) == []
+
+
+def test_long_texts_keep_their_rows(spark):
+    long = "a long line of plain words. " * 75_000
+    rows = [(i, (long + str(i), None, "short text")[i % 3], "en") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    kept = personal.redacted(docs, personal.learn(docs))
+    assert sorted(map(tuple, kept.collect())) == rows

@@ -429,7 +429,7 @@ def redacted(docs: DataFrame, field: Field) -> DataFrame:
             columns[place] = pa.array(texts, columns[place].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(change, docs.schema)
+    return map_batches(docs, change, docs.schema)
 
 
 def op6_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

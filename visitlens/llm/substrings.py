@@ -355,7 +355,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, **options) -> DataFram
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
 
     names = docs.columns
-    return found.mapInArrow(work, docs.schema)
+    return map_batches(found, work, docs.schema)
 
 
 def op2_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:

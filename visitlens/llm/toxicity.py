@@ -36,6 +36,7 @@ from visitlens.llm.common import (
 
 EXAMPLES_PER_LABEL = 2048
 LEARN_PER_LABEL = 4096
+CACHED_TERMS = 500_000  # of all vectors a task remembers: some 60 MB
 TERMS = 512
 LEAST_DOCUMENTS = 4
 PREFIXES = (4, 5, 6, 7)
@@ -275,13 +276,17 @@ class Model:
         make = Vectoriser(self.terms, self.shared)
         xs, ys = ([p[i] for p in self.curve] for i in (0, 1))
         seen: dict = {}
+        held = 0
 
         def score(text: str) -> tuple[float, list[int], list[float]]:
+            nonlocal held
             vector = make(text)
             key = tuple(vector.items())
             if key not in seen:
-                if len(seen) > 50_000:
+                if held > CACHED_TERMS:
                     seen.clear()
+                    held = 0
+                held += len(key) + 8
                 numbers, cosines = self.index.nearest(vector, self.k)
                 if len(numbers) and xs:
                     value = float(np.interp(vote(numbers, cosines, self.labels), xs, ys))
@@ -321,7 +326,7 @@ class Model:
                 keep = [score(text or "")[0] < 0.5 for text in batch.column(place).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        return docs.mapInArrow(work, docs.schema)
+        return map_batches(docs, work, docs.schema)
 
 
 def op1_block_max_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
