@@ -44,13 +44,18 @@ def test_many_equal_each_alone(spark, kind):
         assert sorted((tuple(r) for r in top if r["task_id"] == task.task_id), key=repr) == values(alone.top_category())
 
 
-def test_the_many_task_plan_hashes_and_moves_no_task_sessions_to_users(spark, conf):
+def test_nothing_is_shuffled_after_sessions_are_copied_to_tasks(spark, conf):
+    """Only (task, session) pairs that passed leave the stage that makes them."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = ManyTasksPlan(spark, as_actions(stored(spark, ROWS)), users(spark, PEOPLE), [t for t in TASKS if t.start_date and t.end_date])
-    text = plan.sessions._jdf.queryExecution().executedPlan().toString()
-    assert "ObjectHashAggregate" not in text and "SortAggregate" not in text
-    fan_out = text.index("task_id")
-    assert "hashpartitioning(user_id" not in text[:fan_out].split("HashAggregate")[0]
+    lines = plan.sessions._jdf.queryExecution().executedPlan().toString().splitlines()
+    copied = next(i for i, line in enumerate(lines) if "Generate explode(numbers" in line)
+    assert not any("Exchange" in line and "Broadcast" not in line for line in lines[:copied])
+    below = "\n".join(lines[copied:])
+    assert "hashpartitioning(task_id" not in below and "hashpartitioning(session_id" in below
+    assert "SortAggregate" not in below
+    pairs = plan.per_session._jdf.queryExecution().executedPlan().toString()
+    assert "explode(sequence" not in pairs and "hashpartitioning(date" not in pairs
 
 
 def test_a_bad_task_is_noted_and_the_others_run(spark):

@@ -2,8 +2,8 @@
 
 A session is cut at each task's date range before it is rolled up, so tasks cannot share sessions.
 They do share *session-days*: a day is inside a range or outside it. Actions are rolled up once to
-(session, day), and joined with their users there; only these much fewer rows are then copied to
-every task whose range holds the day.
+(session, day), joined with their users there, and brought together by session; only then is a session
+copied, to the tasks that its users and its days can be in.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.times import seconds_between
 from visitlens.operators.bounds import broadcast_if
-from visitlens.operators.categories import COUNTS, only_sessions, session_categories
+from visitlens.operators.categories import COUNTS, session_categories
+from visitlens.operators.day_blocks import levels, merged
 from visitlens.operators.scan import actions_between, readable_date
-from visitlens.operators.users import join_users
+from visitlens.operators.task_index import TaskIndex, both, either, has, numbers_in
 from visitlens.sources.tasks import Task, task_frame
 
 BY_TASK = ("task_id",)
@@ -57,34 +58,20 @@ def bounded(actions: DataFrame, tasks: Sequence[Task]) -> DataFrame:
     return span.withColumn("date", readable_date(span))
 
 
-def task_days(spark, actions: DataFrame, tasks: Sequence[Task]) -> DataFrame:
-    """(task_id, date) for every day of every task. Takes what :func:`bounded` returns.
-
-    A task that lacks a bound gets the days the actions have.
-    """
-    closed = [t for t in tasks if t.start_date is not None and t.end_date is not None]
-    rows = sum(max(0, (t.end_date - t.start_date).days + 1) for t in closed)
-    frame = task_frame(spark, closed).where("start_date <= end_date")
-    days = broadcast_if(frame.select("task_id", F.explode(F.sequence("start_date", "end_date")).alias("date")), rows)
-    open_ = [t for t in tasks if t not in closed]
-    if not open_:
-        return days
-    frame = broadcast_if(task_frame(spark, open_).select("task_id", "start_date", "end_date"), len(open_))
-    seen = actions.select("date").distinct().join(
-        frame, F.expr("(start_date is null or date >= start_date) and (end_date is null or date <= end_date)"))
-    return days.unionByName(seen.select("task_id", "date"))
-
-
 def _wanted(values) -> list:
     return sorted({v for given in values if given is not None for v in given})
 
 
+def _width(values: Sequence) -> int:
+    """Masks needed for so many values."""
+    return -(-len(values) // MASK_BITS)
+
+
 def _masks(values: list, given) -> list[int | None]:
     """The bits of ``given`` among ``values``, in as many numbers as are needed; None asks for nothing."""
-    width = -(-len(values) // MASK_BITS)
     if given is None:
-        return [None] * width
-    masks = [0] * width
+        return [None] * _width(values)
+    masks = [0] * _width(values)
     for value in given:
         at = values.index(value)
         masks[at // MASK_BITS] |= 1 << at % MASK_BITS
@@ -99,84 +86,120 @@ def _seen(column: str, values: list, name: str) -> list[Column]:
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(MASK_BITS)).cast("int"))
     return [
         F.bit_or(F.when(at.between(n * MASK_BITS, n * MASK_BITS + MASK_BITS - 1), bit)).alias(f"{name}_{n}")
-        for n in range(-(-len(values) // MASK_BITS))
+        for n in range(_width(values))
     ]
 
 
-def _hit(given: str, seen: str, masks: int) -> Column:
-    """Null parameter passes; a given list passes if one of its values was seen."""
-    met = [F.coalesce(F.col(f"{seen}_{n}").bitwiseAND(F.col(f"{seen}_mask_{n}")) != 0, F.lit(False)) for n in range(masks)]
-    return ~F.col(given) | reduce(lambda x, y: x | y, met, F.lit(False))
-
-
 def _params(spark, tasks: Sequence[Task], keywords: list, categories: list) -> DataFrame:
-    """What each task asks of users and sessions; keywords and categories as bit masks."""
-    frame = task_frame(spark, tasks).select("task_id", "start_age", "end_age", "professionals", "cities", "task_sex")
-    width = (-(-len(keywords) // MASK_BITS), -(-len(categories) // MASK_BITS))
-    kinds = ["task_id bigint", "by_keyword boolean", "by_category boolean"]
-    kinds += [f"keyword_mask_{n} bigint" for n in range(width[0])] + [f"category_mask_{n} bigint" for n in range(width[1])]
+    """Number, dates, and what each task asks of sessions as bit masks."""
+    kinds = ["number int", "task_id bigint", "start_date date", "end_date date", "by_keyword boolean", "by_category boolean"]
+    kinds += [f"{name}_mask_{n} bigint" for name, values in (("keyword", keywords), ("category", categories)) for n in range(_width(values))]
     rows = [
-        (t.task_id, t.keywords is not None, t.category_ids is not None, *_masks(keywords, t.keywords), *_masks(categories, t.category_ids))
-        for t in tasks
+        (i, t.task_id, t.start_date, t.end_date, t.keywords is not None, t.category_ids is not None, *_masks(keywords, t.keywords), *_masks(categories, t.category_ids))
+        for i, t in enumerate(tasks)
     ]
-    masks = spark.createDataFrame(rows, ", ".join(kinds))
-    return broadcast_if(frame.join(broadcast_if(masks, len(tasks)), "task_id"), len(tasks))
+    return broadcast_if(spark.createDataFrame(rows, ", ".join(kinds)), len(tasks))
+
+
+def _merge(masks: Sequence[str]):
+    """Two stretches of a session in one."""
+    def merge(x: Column, y: Column) -> Column:
+        return F.struct(
+            F.least(x["user_id"], y["user_id"]).alias("user_id"),
+            F.least(x["start_time"], y["start_time"]).alias("start_time"),
+            F.greatest(x["end_time"], y["end_time"]).alias("end_time"),
+            (x["step_length"] + y["step_length"]).alias("step_length"),
+            *[x[m].bitwiseOR(y[m]).alias(m) for m in masks],
+        )
+
+    return merge
+
+
+def _met(name: str, values: list) -> Column:
+    """A task that gives no list passes; a given one passes if one of its values was seen."""
+    seen = [F.col(f"part.{name}_{n}").bitwiseAND(F.col(f"{name}_mask_{n}")) != 0 for n in range(_width(values))]
+    return ~F.col(f"by_{name}") | reduce(lambda x, y: x | y, seen, F.lit(False))
+
+
+def session_days(actions: DataFrame, keywords: list = (), categories: list = ()) -> DataFrame:
+    """One fixed-width row per session and day, whatever the tasks."""
+    return actions.groupBy("session_id", "date").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("action_time").alias("start_time"),
+        F.max("action_time").alias("end_time"),
+        F.count(F.lit(1)).alias("step_length"),
+        *_seen("search_keyword", list(keywords), "keyword"),
+        *_seen("click_category_id", list(categories), "category"),
+    )
 
 
 def task_sessions(spark, actions: DataFrame, users: DataFrame, tasks: Sequence[Task]) -> DataFrame:
     """Filtered sessions of every task: task_id, session_id, user_id, start_time, step_length,
     visit_length. Takes what :func:`bounded` returns.
 
-    Users are joined to session-days, once, whatever the number of tasks. A session belongs to its
-    least user in the task's dates; it passes if the least user of all is the least one that passes.
+    Users and days carry bitmaps of tasks (:mod:`task_index`); a session is copied only to tasks that
+    both have, after its days have come together, so that what a task makes of them needs no shuffle.
+    A task's days are merged from the session's dyadic blocks (:mod:`day_blocks`). A session holds as
+    many days as it has rows here, each of fixed width. It belongs to its least user in the task's dates,
+    and passes if that user does.
     """
     keywords = _wanted(t.keywords for t in tasks)
     categories = _wanted(t.category_ids for t in tasks)
-    width = (-(-len(keywords) // MASK_BITS), -(-len(categories) // MASK_BITS))
-    session_days = actions.groupBy("session_id", "date").agg(
-        F.min("user_id").alias("user_id"),
-        F.min("action_time").alias("start_time"),
-        F.max("action_time").alias("end_time"),
-        F.count(F.lit(1)).alias("step_length"),
-        *_seen("search_keyword", keywords, "keyword"),
-        *_seen("click_category_id", categories, "category"),
-    )
-    with_users = join_users(session_days, users.withColumn("_known", F.lit(True)), "left", ["_known"])
-    fits = (
-        F.expr("start_age is null or age between start_age and end_age")
-        & F.expr("professionals is null or array_contains(professionals, professional)")
-        & F.expr("cities is null or array_contains(cities, city)")
-        & F.expr("task_sex is null or sex = task_sex")
-    )
-    passes = F.coalesce(F.col("_known") & fits, F.lit(False))
+    masks = [f"keyword_{n}" for n in range(_width(keywords))] + [f"category_{n}" for n in range(_width(categories))]
+    measures = ["user_id", "start_time", "end_time", "step_length", *masks]
+    index = TaskIndex(spark, tasks)
+    merge = _merge(masks)
+
+    days = session_days(actions, keywords, categories).fillna(0, masks) if masks else session_days(actions)
+    days = index.of_days(days.join(index.of_users(users), "user_id", "left"), "held")
+    none = F.array(*[F.lit(0).cast("bigint") for _ in index.every])
+    day = F.struct("date", F.coalesce("tasks", none).alias("tasks"), "held", F.struct(*measures).alias("part"))
+    sessions = days.groupBy("session_id").agg(F.collect_list(day).alias("days"))
+    sessions = sessions.withColumn("days", F.array_sort("days"))
+
+    def any_of(name: str) -> Column:
+        return F.aggregate("days", none, lambda found, d: either(found, d[name]))
+
+    sessions = sessions.select(
+        "session_id", F.transform("days", lambda d: F.struct(d["date"].alias("date"), d["tasks"].alias("tasks"), d["part"]["user_id"].alias("user_id"))).alias("days"),
+        levels(F.transform("days", lambda d: d["part"]), merge).alias("blocks"),
+        numbers_in(both(any_of("tasks"), any_of("held"))).alias("numbers"))
+    pairs = sessions.select("session_id", "days", "blocks", F.explode("numbers").alias("number"))
+    pairs = pairs.join(_params(spark, tasks, keywords, categories), "number")
+
+    def before(test) -> Column:
+        return F.size(F.filter("days", lambda d: F.coalesce(test(d["date"]), F.lit(False))))
+
+    first = before(lambda d: d < F.col("start_date"))
+    last = F.when(F.col("end_date").isNull(), F.size("days")).otherwise(before(lambda d: d <= F.col("end_date")))
+    nothing = F.struct(
+        F.lit(None).cast("bigint").alias("user_id"), F.lit(None).cast(actions.schema["action_time"].dataType).alias("start_time"),
+        F.lit(None).cast(actions.schema["action_time"].dataType).alias("end_time"), F.lit(0).cast("bigint").alias("step_length"),
+        *[F.lit(0).cast("bigint").alias(m) for m in masks])
+    pairs = pairs.select("*", first.alias("first"), (last - first).alias("count")).where("count > 0")
+    pairs = pairs.withColumn("part", merged(F.col("blocks"), F.col("first"), F.col("count"), merge, nothing))
+    passes = F.exists("days", lambda d: (d["user_id"] == F.col("part.user_id")) & has(d["tasks"], F.col("number")))
     return (
-        with_users.join(task_days(spark, actions, tasks), "date")
-        .join(_params(spark, tasks, keywords, categories), "task_id")
-        .groupBy("task_id", "session_id")
-        .agg(
-            F.min("user_id").alias("user_id"),
-            F.min(F.when(passes, F.col("user_id"))).alias("_passing"),
-            F.min("start_time").alias("start_time"),
-            F.max("end_time").alias("end_time"),
-            F.sum("step_length").alias("step_length"),
-            F.bool_or(_hit("by_keyword", "keyword", width[0])).alias("keyword_hit"),
-            F.bool_or(_hit("by_category", "category", width[1])).alias("category_hit"),
-        )
-        .where("keyword_hit and category_hit and user_id = _passing")
-        .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time")))
-        .select("task_id", "session_id", "user_id", "start_time", "step_length", "visit_length")
+        pairs.where(passes & _met("keyword", keywords) & _met("category", categories))
+        .select("task_id", "session_id", "part.user_id", "part.start_time", "part.step_length",
+                seconds_between(F.col("part.start_time"), F.col("part.end_time")).alias("visit_length"))
     )
 
 
 def task_session_categories(spark, actions: DataFrame, sessions: DataFrame, tasks: Sequence[Task]) -> DataFrame:
-    """Counts per (task, session, category) for the filtered ``sessions`` of every task."""
+    """Counts per (task, session, category) for the filtered ``sessions`` of every task.
+
+    Only days of sessions that pass are copied, and only to the tasks they pass.
+    """
     per_day = session_categories(actions, ("session_id", "date"))
-    per_session = (
-        per_day.join(task_days(spark, actions, tasks), "date")
+    dates = broadcast_if(task_frame(spark, tasks).select("task_id", "start_date", "end_date"), len(tasks))
+    chosen = sessions.select("task_id", "session_id").join(dates, "task_id")
+    inside = "(start_date is null or date >= start_date) and (end_date is null or date <= end_date)"
+    return (
+        per_day.join(chosen, "session_id").where(inside)
         .groupBy("task_id", "session_id", "category_id")
         .agg(*[F.sum(c).alias(c) for c in COUNTS])
     )
-    return only_sessions(per_session, sessions, BY_TASK)
 
 
 def rows_of(
