@@ -6,7 +6,7 @@ import argparse
 import sys
 
 from visitlens.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL
-from visitlens.plans.job import export_tables, run_tasks
+from visitlens.plans.job import export_tables, publish_tasks, run_tasks
 from visitlens.session import build_session
 from visitlens.sources.tables import read_actions, read_tasks, read_users
 from visitlens.sources.tasks import load_tasks
@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE", help="user, password, driver, ...")
     parser.add_argument("--work-folder", default=None,
                         help="shared folder for intermediate results if spark.checkpoint.dir is unset")
+    parser.add_argument("--publish", action="store_true",
+                        help="write a run of its own and switch all five tables to it at once")
     parser.add_argument("--total", type=int, default=DEFAULT_TOTAL, help="sessions to sample per task")
     parser.add_argument("--seed", type=int, default=DEFAULT_SEED)
     args = parser.parse_args(argv)
@@ -40,14 +42,14 @@ def main(argv: list[str] | None = None) -> None:
     bad: dict[int, str] = {}
     tasks = load_tasks(task_table, args.task, bad)
     if tasks:
-        run_tasks(
+        (publish_tasks if args.publish else run_tasks)(
             spark,
             read_actions(spark, args.actions, args.format, **options),
             read_users(spark, args.users, args.format, **options),
             tasks, args.out, args.total, args.seed, args.work_folder,
         )
         if args.jdbc_url:
-            export_tables(spark, args.out, [t.task_id for t in tasks], args.jdbc_url, **jdbc)
+            export_tables(spark, args.out, [t.task_id for t in tasks], args.jdbc_url, args.publish, **jdbc)
     if bad:
         sys.exit("".join(f"task {i} has unreadable parameters and was not run: {why}\n" for i, why in bad.items()))
 
