@@ -40,7 +40,7 @@ def awkward():
 
 def test_ids_equal_the_library(spark, model, vocabulary):
     rows = awkward()
-    got = pieces.encode(documents(spark, rows), vocabulary, bucket_documents=5).collect()
+    got = pieces.encode(documents(spark, rows).repartition(7), vocabulary).collect()  # several blocks
     assert sorted(((r["doc_id"], list(r["ids"])) for r in got), key=repr) == sorted(((i, model.encode(t or "")) for i, t in rows), key=repr)
     short = pieces.encode(documents(spark, rows), vocabulary, digest=True).collect()
     digests = [(i, len(ids), sum(vocabulary.bytes[0] <= x < vocabulary.bytes[0] + 256 for x in ids), crc32(array("i", ids).tobytes()))
@@ -63,6 +63,31 @@ def test_round_trip(spark, vocabulary):
     assert dict(back.collect()) == {i: t or "" for i, t in rows}
 
 
+def test_repeated_and_null_ids_keep_their_rows(spark, vocabulary):
+    rows = [(1, "alpha beta"), (1, "gamma delta"), (1, "alpha beta"), (None, "of no id"), (None, ""), (2, None), (2, "x" * 90)]
+    back = pieces.decode(pieces.encode(documents(spark, rows), vocabulary), vocabulary).collect()
+    assert sorted(map(tuple, back), key=repr) == sorted(((i, t or "") for i, t in rows), key=repr)
+
+
+def test_long_texts_and_blocks(spark, model, vocabulary):
+    rows = [(0, "word " * 400_000), (1, "y" * 200_000), *((i, f"the {i} " + "word " * (i % 5)) for i in range(2, 40))]
+    got = pieces.encode(documents(spark, rows).repartition(5), vocabulary).collect()
+    assert sorted((r["doc_id"], list(r["ids"])) for r in got) == [(i, model.encode(t)) for i, t in rows]
+
+
+def test_every_word_is_folded_once(spark, vocabulary, capsys):
+    plan = pieces.encoded_blocks(documents(spark, [(1, "a b")]), vocabulary)
+    plan.explain()
+    text = capsys.readouterr().out
+    assert "CartesianProduct" not in text and text.count("ObjectHashAggregate") <= 2
+
+
+def test_query_decodes_the_whole_table(spark):
+    texts = dict(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect())
+    got = {r["doc_id"]: r["decoded"] for r in pieces.op8_relational_lattice(spark, "/root/testdata/sf0.001").collect()}
+    assert got == {i: t or "" for i, t in texts.items()}
+
+
 def test_viterbi_equals_brute_force(spark, vocabulary):
     small = pieces.Vocabulary.__new__(pieces.Vocabulary)
     small.pieces = {"a": (1, -1.0), "b": (2, -1.5), "ab": (3, -1.2), "ba": (4, -2.0), "aba": (5, -3.5), "bb": (6, -0.5)}

@@ -1,10 +1,10 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
 A text is escaped (blanks become U+2581, one is put in front) and cut into words before each run of
-U+2581, which no piece crosses. Documents are dealt by hash to buckets of bounded size; inside a
-bucket every distinct word is encoded once: its substrings up to the longest piece are exploded,
-equi-joined to the piece table (bounded by the vocabulary, so it is broadcast), and the edges found
-are grouped by word and folded with ``aggregate``:
+U+2581, which no piece crosses. Documents are kept in blocks of bounded size, as places in the block's
+list of distinct words. Every distinct word of the corpus is encoded once: its substrings up to the
+longest piece are exploded, equi-joined to the piece table (bounded by the vocabulary, so it is
+broadcast), and the edges found are grouped by word and folded with ``aggregate``:
 
 - ``merge`` for BPE models: of the edges that join two neighbouring symbols the one of greatest score
   (leftmost among equals) is applied until none is left; symbols are the gaps in a bit mask;
@@ -12,8 +12,9 @@ are grouped by word and folded with ``aggregate``:
 
 A Viterbi path over a BPE model's scores gives other pieces than SentencePiece does, so the fold
 follows the model. Characters outside the vocabulary fall back to bytes. Words of more than
-``LONGEST_WORD`` characters do not fit the mask and are merged with a heap in the task that joins
-words and documents. The deal by bucket is the only shuffle of texts.
+``LONGEST_WORD`` characters do not fit the mask and are merged with a heap in the task that reads them.
+The ids join the (block, word) pairs, which carry no lattice, and meet their block; no text is shuffled.
+Decoding looks up the spellings of a row's ids and joins them, row by row.
 
 Defined results: a null or empty text has no pieces; literal U+2581 is taken for a blank, as
 SentencePiece does; repeated rows are encoded each for itself; an empty table gives no rows; columns
@@ -23,17 +24,18 @@ other than ``doc_id`` and ``text`` are ignored.
 from __future__ import annotations
 
 import heapq
+import re
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import arrow_schema, kind_of, read, rows_batch
+from visitlens.llm.common import Shelf, arrow_schema, ids_and_texts, kind_of, map_batches, read, rows_batch
 
 SPACE = "▁"
 LONGEST_WORD = 60
-BUCKET_DOCUMENTS = 512  # the edges of their words are sorted in one task; they should fit in its memory
 UNKNOWN = -1e10
 
 
@@ -183,61 +185,101 @@ def heap_merge(word: str, vocabulary: Vocabulary) -> list[int]:
     return ids
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, bucket_documents: int = BUCKET_DOCUMENTS, digest: bool = False) -> DataFrame:
-    """``doc_id`` and ``ids`` of every document; with ``digest`` their number, the unknown characters' bytes, a checksum."""
+def blocks_of(docs: DataFrame, vocabulary: Vocabulary, shelf: Shelf) -> DataFrame:
+    """The documents in kept blocks of bounded size, words replaced by their places in the block's own list.
+
+    ``doc_ids`` and ``counts`` (words) hold a value for each row; ``sequence`` is the compressed list of
+    places of all its words; a place is one in ``words``, or after them one in ``merged``, the ids of
+    words too long for the mask.
+    """
+    cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
+    ddl = f"doc_ids array<{kind_of(docs, 'doc_id')}>, counts array<int>, sequence binary, words array<string>, merged array<array<int>>"
+    schema = arrow_schema(ddl)
+
+    def work(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+        import zstandard
+
+        for part in parts:
+            places: dict[str, int] = {}
+            sequence, counts = array("i"), []
+            for value in part.column(1).to_pylist():
+                words = cut(SPACE + value.replace(" ", SPACE)) if value else []
+                counts.append(len(words))
+                sequence.extend(places.setdefault(w, len(places)) for w in words)
+            short = [w for w in places if len(w) <= LONGEST_WORD]
+            long = [w for w in places if len(w) > LONGEST_WORD]
+            if long:  # they go to the end of the list
+                moved = {w: at for at, w in enumerate(short + long)}
+                new = array("i", (moved[w] for w in places))
+                sequence = array("i", map(new.__getitem__, sequence))
+            rows = [(counts, zstandard.compress(sequence.tobytes()), short, [heap_merge(w, vocabulary) for w in long])]
+            lead = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0))
+            yield rows_batch(rows, schema, lead.cast(schema.field(0).type))
+
+    blocks = map_batches(ids_and_texts(docs), work, ddl)
+    return shelf.keep(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
+
+
+def encoded_blocks(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
+    """``doc_id``, ``ids``, their number, the unknown characters' bytes, and a checksum of the ids."""
     vocabulary = vocabulary or Vocabulary()
-    buckets = -(-docs.count() // bucket_documents) or 1
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    dealt = docs.select("doc_id", text.alias("text")).withColumn(
-        "bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
-    # Nothing of the id is added; being named here, it stays in what both sides read, so that they share one shuffle.
-    nothing = F.left(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(0))
-    words = dealt.select("bucket", F.explode(words_of(F.concat("text", nothing))).alias("word"))
-    words = words.filter(F.char_length("word") <= LONGEST_WORD)
-    known = encoded_words(words.distinct(), ["bucket", "word"], vocabulary).withColumnRenamed("bucket", "of")
-    kind = kind_of(docs, "doc_id")
-    schema = f"doc_id {kind}, " + ("n_pieces long, n_bytes long, ids_crc32 long" if digest else "ids array<int>")
-    target, codes = arrow_schema(schema), {i: b for b, i in vocabulary.bytes.items()}
+    blocks = blocks_of(docs, vocabulary, Shelf(docs.sparkSession, "pieces"))
+    pairs = blocks.select("block", F.posexplode("words").alias("at", "word"))
+    known = encoded_words(pairs.select("word").distinct(), ["word"], vocabulary)
+    found = pairs.join(known, "word").select(F.col("block").alias("of"), "at", "ids")
+    schema = f"doc_id {kind_of(docs, 'doc_id')}, ids array<int>, n_pieces long, n_bytes long, ids_crc32 long"
+    target, bytes_from, bytes_to = arrow_schema(schema), min(vocabulary.bytes.values()), max(vocabulary.bytes.values())
 
     def assemble(left, right):
-        import re
-        from array import array
-
-        cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
-        ids_of = {word: array("i", ids) for word, ids in zip(right["word"].to_pylist(), right["ids"].to_pylist())}
-        rows = []
-        for value in left["text"].to_pylist():
-            ids = array("i")
-            for word in cut(SPACE + value.replace(" ", SPACE)) if value else ():
-                part = ids_of.get(word)
-                if part is None:  # too long for the mask
-                    part = ids_of[word] = array("i", heap_merge(word, vocabulary))
-                ids += part
-            rows.append((len(ids), sum(map(codes.__contains__, ids)), crc32(ids.tobytes())) if digest else (ids.tolist(),))
+        import numpy as np
         import pyarrow as pa
+        import zstandard
+
+        block = left.to_batches()[0]  # blocks are distinct
+        ids_of = right.sort_by("at").column("ids").combine_chunks()
+        merged = block.column("merged")[0].as_py()
+        sizes = np.concatenate([ids_of.value_lengths().to_numpy(False), [len(m) for m in merged]]).astype(np.int64)
+        values = np.concatenate([ids_of.flatten().to_numpy(False), *merged]).astype(np.int32)
+        sequence = np.frombuffer(zstandard.decompress(block.column("sequence")[0].as_py()), np.int32)
+        counts = block.column("counts")[0].values.to_numpy(False)
+        taken = sizes[sequence]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        starts = (np.cumsum(sizes) - sizes)[sequence] - ends[:-1]
+        ids = values[np.repeat(starts, taken) + np.arange(ends[-1])]
+        limits = ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+        in_bytes = np.concatenate([[0], np.cumsum((ids >= bytes_from) & (ids <= bytes_to))])[limits]
+        checks = [crc32(ids[a:b].tobytes()) for a, b in zip(limits[:-1], limits[1:])]
+        lists = pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(ids, pa.int32()))
+        columns = [block.column("doc_ids")[0].values, lists, *(pa.array(c, pa.int64()) for c in (np.diff(limits), np.diff(in_bytes), checks))]
+        return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, target)], schema=target)
+
+    kept = blocks.select("block", "doc_ids", "counts", "sequence", "merged")
+    return kept.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(assemble, schema)
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, digest: bool = False) -> DataFrame:
+    """``doc_id`` and ``ids`` of every document; with ``digest`` their number, the unknown characters' bytes, a checksum."""
+    return encoded_blocks(docs, vocabulary).select("doc_id", *(["n_pieces", "n_bytes", "ids_crc32"] if digest else ["ids"]))
 
-        lead = left["doc_id"].combine_chunks()
-        return pa.Table.from_batches([rows_batch(rows, target, lead)])
 
-    return dealt.groupBy("bucket").cogroup(known.groupBy("of")).applyInArrow(assemble, schema)
+def decoded(ids: Column, vocabulary: Vocabulary | None = None) -> Column:
+    """The text of a list of ids; the spellings of all ids are one literal, bounded by the vocabulary."""
+    vocabulary = vocabulary or Vocabulary()
+    spelled = {i: p.replace(SPACE, " ").encode() for p, (i, _) in vocabulary.pieces.items()}
+    spelled |= {i: bytes([b]) for b, i in vocabulary.bytes.items()}
+    table = F.split(F.lit(",".join(spelled.get(i, b"").hex() for i in range(max(spelled) + 1))), ",")
+    text = F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), "")).cast("string")
+    return F.coalesce(F.substring(text, 2, 2**31 - 1), F.lit(""))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
-    """``doc_id`` and ``text`` from ``doc_id`` and ``ids``; ids are exploded and joined to the piece table.
-
-    Rows of one id would be mixed: ids must be distinct.
-    """
-    vocabulary = vocabulary or Vocabulary()
-    spark = encoded.sparkSession
-    rows = [(i, p.replace(SPACE, " ").encode()) for p, (i, _) in vocabulary.pieces.items()]
-    rows += [(i, bytes([b])) for b, i in vocabulary.bytes.items()]
-    table = spark.createDataFrame([(i, bytearray(b)) for i, b in rows], "id int, spelled binary")
-    parts = encoded.select("doc_id", F.posexplode("ids").alias("at", "id")).join(F.broadcast(table), "id")
-    joined = parts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("at", F.hex("spelled").alias("h")))).alias("p"))
-    text = F.decode(F.unhex(F.array_join(F.transform("p", lambda x: x["h"]), "")), "utf-8")
-    found = joined.select("doc_id", F.substring(text, 2, 2**31 - 1).alias("text"))
-    return encoded.select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """``doc_id`` and ``text`` from ``doc_id`` and ``ids``, row by row: repeated and null doc_ids are rows like others."""
+    return encoded.select("doc_id", decoded(F.col("ids"), vocabulary).alias("text"))
 
 
 def op8_relational_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(read(spark, sf_dir, "documents"), digest=True)
+    """Ids of every document with their number, the unknown characters' bytes and a checksum, and the text decoded from them."""
+    vocabulary = Vocabulary()
+    rows = encoded_blocks(read(spark, sf_dir, "documents"), vocabulary)
+    return rows.select("doc_id", "n_pieces", "n_bytes", "ids_crc32", "ids", decoded(F.col("ids"), vocabulary).alias("decoded"))
