@@ -69,6 +69,16 @@ def test_repeated_and_null_ids_keep_their_rows(spark, vocabulary):
     assert sorted(map(tuple, back), key=repr) == sorted(((i, t or "") for i, t in rows), key=repr)
 
 
+@given(st.text(alphabet=st.sampled_from("abehlnorstw\n.,%#é日\U0001f600"), min_size=1, max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_no_merge_crosses_fragments(text):
+    vocabulary = test_no_merge_crosses_fragments.__dict__.setdefault("vocabulary", pieces.Vocabulary())
+    word = pieces.SPACE + text
+    parts = vocabulary.fragments(word)
+    assert "".join(parts) == word
+    assert sum((pieces.heap_merge(p, vocabulary) for p in parts), []) == pieces.heap_merge(word, vocabulary)
+
+
 def test_long_texts_and_blocks(spark, model, vocabulary):
     rows = [(0, "word " * 400_000), (1, "y" * 200_000), *((i, f"the {i} " + "word " * (i % 5)) for i in range(2, 40))]
     got = pieces.encode(documents(spark, rows).repartition(5), vocabulary).collect()

@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
 A text is escaped (blanks become U+2581, one is put in front) and cut into words before each run of
-U+2581, which no piece crosses. Documents are kept in blocks of bounded size, as places in the block's
+U+2581, which no piece crosses, and again between characters that no piece holds next to each other. Documents are kept in blocks of bounded size, as places in the block's
 list of distinct words. Every distinct word of the corpus is encoded once: its substrings up to the
 longest piece are exploded, equi-joined to the piece table (bounded by the vocabulary, so it is
 broadcast), and the edges found are grouped by word and folded with ``aggregate``:
@@ -61,6 +61,12 @@ class Vocabulary:
         }
         self.bytes = {int(model.id_to_piece(i)[3:-1], 16): i for i in size if model.is_byte(i)}
         self.longest = max(map(len, self.pieces))
+        self.joined = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
+
+    def fragments(self, word: str) -> list[str]:
+        """The word cut where no piece holds the two characters next to each other: no merge crosses such a place."""
+        limits = [0, *(i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.joined), len(word)]
+        return [word[a:b] for a, b in zip(limits, limits[1:])]
 
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(p, i, s) for p, (i, s) in self.pieces.items()], "piece string, id int, score double")
@@ -188,8 +194,8 @@ def heap_merge(word: str, vocabulary: Vocabulary) -> list[int]:
 def blocks_of(docs: DataFrame, vocabulary: Vocabulary, shelf: Shelf) -> DataFrame:
     """The documents in kept blocks of bounded size, words replaced by their places in the block's own list.
 
-    ``doc_ids`` and ``counts`` (words) hold a value for each row; ``sequence`` is the compressed list of
-    places of all its words; a place is one in ``words``, or after them one in ``merged``, the ids of
+    ``doc_ids`` and ``counts`` (fragments of words) hold a value for each row; ``sequence`` is the compressed list of
+    places of all its fragments; a place is one in ``words``, or after them one in ``merged``, the ids of
     words too long for the mask.
     """
     cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
@@ -202,11 +208,16 @@ def blocks_of(docs: DataFrame, vocabulary: Vocabulary, shelf: Shelf) -> DataFram
 
         for part in parts:
             places: dict[str, int] = {}
+            known: dict[str, list[int]] = {}
             sequence, counts = array("i"), []
             for value in part.column(1).to_pylist():
-                words = cut(SPACE + value.replace(" ", SPACE)) if value else []
-                counts.append(len(words))
-                sequence.extend(places.setdefault(w, len(places)) for w in words)
+                before = len(sequence)
+                for word in cut(SPACE + value.replace(" ", SPACE)) if value else ():
+                    own = known.get(word)
+                    if own is None:
+                        own = known[word] = [places.setdefault(f, len(places)) for f in vocabulary.fragments(word)]
+                    sequence.extend(own)
+                counts.append(len(sequence) - before)
             short = [w for w in places if len(w) <= LONGEST_WORD]
             long = [w for w in places if len(w) > LONGEST_WORD]
             if long:  # they go to the end of the list
