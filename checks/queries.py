@@ -213,9 +213,16 @@ def task_by_id(spark, sf_dir):
 
 
 def delivered_actions(spark, sf_dir):
-    """The click stream as delivered, in a view of text dates and times with unpadded hours, read back typed."""
+    """The click stream as delivered, in a view of text dates and times in several forms, read back typed:
+    unpadded hours, unpadded fields, trailing text, the hours 24 to 47 of the day before, the months 13 to 24 of the year before."""
+    time = F.col("action_time")
+    carried_day = F.concat(F.date_format(time - F.expr("interval 1 day"), "yyyy-MM-dd "), (F.hour(time) + 24).cast("string"), F.date_format(time, ":mm:ss"))
+    carried_month = F.concat((F.year(time) - 1).cast("string"), F.lit("-"), (F.month(time) + 12).cast("string"), F.date_format(time, "-d H:m:s"))
+    forms = F.array(
+        F.date_format(time, "yyyy-MM-dd H:mm:ss"), F.date_format(time, "yyyy-M-d H:m:s"),
+        F.date_format(time, "yyyy-MM-dd HH:mm:ss.'0'"), carried_day, carried_month)
     text = derived_actions(spark, sf_dir).withColumns({
-        "date": F.date_format("date", "yyyy-MM-dd"), "action_time": F.date_format("action_time", "yyyy-MM-dd H:mm:ss"),
+        "date": F.date_format("date", "yyyy-MM-dd"), "action_time": F.element_at(forms, F.second(time) % 5 + 1),
     })
     text.createOrReplaceTempView("delivered_actions")
     return _action_text(read_actions(spark, "delivered_actions"))

@@ -1,0 +1,50 @@
+"""Times read field by field, as column expressions."""
+
+import datetime as dt
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pyspark.sql import functions as F
+
+from visitlens.functions.times import parse_fields, parse_time
+
+CASES = {
+    "2024-01-03 09:05:03": "2024-01-03 09:05:03", "2024-01-03 9:05:03": "2024-01-03 09:05:03",
+    "2024-1-3 9:5:3": "2024-01-03 09:05:03", "2024-01-03 09:05:03.0": "2024-01-03 09:05:03",
+    "2024-01-03 24:00:05": "2024-01-04 00:00:05", "2024-12-31 23:59:60": "2025-01-01 00:00:00",
+    "2024-13-01 00:00:00": "2025-01-01 00:00:00", "2024-00-01 00:00:00": "2023-12-01 00:00:00",
+    "2024-02-30 10:00:00": "2024-03-01 10:00:00", "2023-02-29 10:00:00": "2023-03-01 10:00:00",
+    "2024-03-00 10:00:00": "2024-02-29 10:00:00", "2024-01-03 10:90:00": "2024-01-03 11:30:00",
+    " 2024- 1- 3  9: 5: 3 and more": "2024-01-03 09:05:03", "2024-01-03 -1:00:00": "2024-01-02 23:00:00",
+    "2024--1-03 00:00:00": "2023-11-03 00:00:00", "2024-01-03 10:00": None, "2024-01-03": None, "2024/01/03 10:00:00": None,
+    "": None, "noon": None, "2024-01-03T10:00:00": None, "9999-12-31 24:00:00": None, "0-01-01 00:00:00": None,
+    "2024-01-1234567 00:00:00": None, "2024-999999-01 00:00:00": None, "99999999999-01-01 00:00:00": None, None: None,
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai"])
+def test_cases(spark, conf, zone):
+    conf("spark.sql.session.timeZone", zone)
+    df = spark.createDataFrame([(t,) for t in CASES], "t string").repartition(2)
+    read = df.select("t", parse_time(F.col("t")).cast("string").alias("time"), parse_fields(F.col("t")).cast("string").alias("by_fields"))
+    for row in read.collect():
+        assert (row["time"], row["by_fields"]) == (CASES[row["t"]],) * 2, row
+
+
+def test_whole_forms_agree_with_fields(spark):
+    df = spark.range(0, 4_000_000_000, 7_654_321).select(F.date_format(F.timestamp_seconds("id"), "yyyy-MM-dd H:mm:ss").alias("t"))
+    assert df.where(~parse_fields(F.col("t")).eqNullSafe(F.to_timestamp("t", "yyyy-MM-dd H:mm:ss"))).count() == 0
+
+
+@given(st.lists(st.tuples(st.integers(1900, 2100), *[st.integers(-400, 400)] * 5), min_size=20, max_size=60))
+@settings(max_examples=3, deadline=None)
+def test_carry_equals_arithmetic(spark, fields):
+    def expected(year, month, day, hour, minute, second):
+        months = year * 12 + month - 1
+        return dt.datetime(months // 12, months % 12 + 1, 1) + dt.timedelta(day - 1, hours=hour, minutes=minute, seconds=second)
+
+    rows = [("{}-{}-{} {}:{}:{}".format(*f), expected(*f)) for f in fields]
+    df = spark.createDataFrame(rows, "t string, wanted timestamp_ntz")
+    assert df.where(~parse_time(F.col("t")).eqNullSafe(F.col("wanted").cast("timestamp"))).count() == 0
