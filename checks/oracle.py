@@ -223,6 +223,12 @@ _ON_BASE = {
     "broadcast_user_join": _SESSION_USER,
     "salted_user_join": _SESSION_USER,
     "split_user_join": _SESSION_USER,
+    "balanced_user_join": _SESSION_USER,
+    "heavy_categories": """
+      SELECT click_category_id, row_count, CAST(ceil(row_count * 16 / all_rows) AS INTEGER) AS salts
+      FROM (SELECT click_category_id, count(*) AS row_count, sum(count(*)) OVER () AS all_rows
+            FROM all_actions WHERE click_category_id IS NOT NULL GROUP BY click_category_id)
+      WHERE row_count * 16 > all_rows""",
     "skew_keys": """
       SELECT user_id, count(*) AS row_count FROM task_rollup WHERE task_id = 1
       GROUP BY user_id ORDER BY row_count DESC, user_id LIMIT 10""",

@@ -6,6 +6,9 @@ and lists are text.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time
 from visitlens.operators import categories, details, filters, rollup, sampling, skew, stats, users
+from visitlens.plans.keep import Kept
 from visitlens.plans.many import ManyTasksPlan
 from visitlens.plans.single import TaskPlan
 from visitlens.schemas import ACTION_COLUMNS
@@ -102,12 +106,34 @@ def broadcast_user_join(spark, sf_dir):
     return _joined(users.broadcast_join_users(*_sessions_and_users(spark, sf_dir)))
 
 
+def _stored_sessions_and_users(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Sessions rolled up once, for joins that read them several times. The table is deleted when the driver ends."""
+    sessions, people = _sessions_and_users(spark, sf_dir)
+    unset = spark.conf.get("spark.checkpoint.dir", None) is None
+    kept = Kept(spark, f"file://{tempfile.mkdtemp(prefix='visitlens-')}" if unset else None)
+
+    def end() -> None:
+        with contextlib.suppress(Exception):  # the driver's JVM may have ended already
+            kept.__exit__()
+
+    atexit.register(end)
+    return kept.keep(sessions, "sessions"), people
+
+
 def salted_user_join(spark, sf_dir):
-    return _joined(skew.salted_join_users(*_sessions_and_users(spark, sf_dir)))
+    return _joined(skew.salted_join_users(*_stored_sessions_and_users(spark, sf_dir)))
 
 
 def split_user_join(spark, sf_dir):
-    return _joined(skew.split_join_users(*_sessions_and_users(spark, sf_dir)))
+    return _joined(skew.split_join_users(*_stored_sessions_and_users(spark, sf_dir)))
+
+
+def balanced_user_join(spark, sf_dir):
+    return _joined(skew.balanced_join_users(*_stored_sessions_and_users(spark, sf_dir)))
+
+
+def heavy_categories(spark, sf_dir):
+    return skew.keys_above(derived_actions(spark, sf_dir), "click_category_id", parts=16)
 
 
 def skew_keys(spark, sf_dir):
@@ -252,6 +278,8 @@ QUERIES: dict[str, Query] = {
     "broadcast_user_join": broadcast_user_join,
     "salted_user_join": salted_user_join,
     "split_user_join": split_user_join,
+    "balanced_user_join": balanced_user_join,
+    "heavy_categories": heavy_categories,
     "skew_keys": skew_keys,
     "filter_age": _one_filter(filters.age_filter, 1),
     "filter_professional": _one_filter(filters.professional_filter, 2),

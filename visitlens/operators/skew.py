@@ -20,6 +20,7 @@ from visitlens.operators.users import attributes
 JOIN_SALTS = 100
 COUNT_SALTS = 10
 PROBE_SHARE = 0.1
+HOT_PARTS = 200  # a key is heavy from one such part of all rows on
 
 
 def salt_of(column: Column, salts: int) -> Column:
@@ -40,6 +41,27 @@ def heavy_keys(df: DataFrame, key: str, row_id: str, n: int = 1, share: float =
     return first_rows(counts, [F.desc("row_count"), F.asc(key)], n)
 
 
+def keys_above(df: DataFrame, key: str, parts: int = HOT_PARTS) -> DataFrame:
+    """The keys that hold more than one in ``parts`` rows, their rows, and ``salts`` that leave each salt no more.
+
+    Exact, and no more than ``parts`` keys. A mergeable sketch of frequent items goes over the rows
+    once, kept per task and merged; only its candidates are counted again. It tracks eight times
+    ``parts`` items, with which its error stays below a third of such a part, so no heavy key is
+    missing among them. Rows with a null key are no part of this. No key is shuffled for its rows.
+    """
+    tracked = 8 * parts
+    rows = df.where(F.col(key).isNotNull())
+    items = F.call_function("approx_top_k", F.col(key), F.lit(tracked), F.lit(tracked))
+    seen = rows.agg(items.alias("items"), F.count(F.lit(1)).alias("all_rows"))
+    candidates = seen.select("all_rows", F.explode("items").alias("i")).select(F.col("i.item").alias(key), "all_rows")
+    counts = (
+        rows.select(key).join(broadcast_if(candidates, tracked), key)
+        .groupBy(key).agg(F.count(F.lit(1)).alias("row_count"), F.first("all_rows").alias("all_rows"))
+    )
+    return counts.where(F.col("row_count") * parts > F.col("all_rows")).select(
+        key, "row_count", F.ceil(F.col("row_count") * parts / F.col("all_rows")).cast("int").alias("salts"))
+
+
 def salted_count(df: DataFrame, key: str, salt_by: str, salts: int = COUNT_SALTS) -> DataFrame:
     """Rows per key in two rounds: per (key, salt), then per key."""
     first = (
@@ -69,6 +91,21 @@ def salted_join_users(
     return left.join(right, ["user_id", "_salt"]).drop("_salt")
 
 
+def balanced_join_users(sessions: DataFrame, users: DataFrame, parts: int = HOT_PARTS) -> DataFrame:
+    """Inner join with users on (user, salt), with salts in proportion to the sessions of each heavy user.
+
+    Of any user, one reducer gets about one in ``parts`` of the sessions. A heavy user's row is copied once
+    a salt; all copies together are at most twice ``parts``. Reads the sessions three times: store them.
+    """
+    heavy = keys_above(sessions, "user_id", parts)
+    keys = broadcast_if(heavy.select("user_id", F.col("salts").alias("_salts")), parts)
+    spread = F.pmod(F.xxhash64("session_id"), F.coalesce("_salts", F.lit(1))).cast("int")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    left = sessions.join(keys, "user_id", "left").withColumn("_salt", spread).drop("_salts")
+    right = attributes(users).join(keys, "user_id", "left").withColumn("_salt", F.explode(copies)).drop("_salts")
+    return left.join(right, ["user_id", "_salt"]).drop("_salt")
+
+
 def split_join_users(
     sessions: DataFrame, users: DataFrame, hot: int = 1, salts: int = JOIN_SALTS, share: float = PROBE_SHARE
 ) -> DataFrame:
