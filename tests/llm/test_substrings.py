@@ -66,3 +66,29 @@ def test_texts_without_repeats(spark):
         if digest and doc_id != 203 and doc_id != 204:
             assert digest in [hashlib.sha256((t or "").encode()).hexdigest() for t in texts[doc_id]]
     assert substrings.report(substrings.marked(spark, documents(spark, []))).collect() == []
+
+
+UNDERSCORED = ("_key", "_raw", "_cuts", "_whole", "_copied", "_parts", "_lead", "_id", "_k1", "_k2", "rest", "none", "a.b", "parts", "row")
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    """Columns with the names that the operators use inside, here and in the join, are carried through."""
+    from pyspark.sql import functions as F
+
+    from visitlens.llm.similarity import one_of_each
+
+    rows = [*edge_rows(), (20, prose(4, 90) + " tail"), (21, "head " + prose(4, 90))]
+    plain = documents(spark, rows, clashing=False)
+    clashing = plain
+    for name in UNDERSCORED:
+        clashing = clashing.withColumn(name, F.concat(F.lit(f"{name} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    columns = [F.col(f"`{name}`") for name in plain.columns]
+    for stage in (substrings.without_repeats, one_of_each):
+        got = stage(spark, clashing)
+        assert got.columns == clashing.columns
+        assert sorted(got.select(*columns).collect(), key=repr) == sorted(stage(spark, plain).collect(), key=repr)
+        assert all(row[name] == f"{name} of {'none' if row['doc_id'] is None else row['doc_id']}" for row in got.collect() for name in UNDERSCORED)
+    bare = plain.select("doc_id", "text")
+    assert sorted(substrings.without_repeats(spark, bare).collect(), key=repr) == sorted(
+        substrings.without_repeats(spark, plain).select("doc_id", "text").collect(), key=repr)
+    assert substrings.report(substrings.marked(spark, clashing)).count() == len(rows)

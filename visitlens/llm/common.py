@@ -28,6 +28,17 @@ def ids_and_texts(docs: DataFrame, text_or: str | None = "") -> DataFrame:
     return docs.select("doc_id", text.alias("text"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and the other columns in one struct ``rest``, where their names clash with none."""
+    others = [F.col(f"`{name}`") for name in docs.columns if name not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others or [F.lit(0).alias("none")]).alias("rest"))
+
+
+def unpacked(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The columns ``names`` of a table that :func:`packed` made."""
+    return rows.select(*(F.col(n) if n in ("doc_id", "text") else F.col("rest").getField(n).alias(n) for n in names))
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """True for the fifth of the documents nothing is learned from. A null id is never held out."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

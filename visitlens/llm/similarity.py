@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import Shelf, arrow_schema, kind_of, map_batches, read, rows_batch
+from visitlens.llm.common import Shelf, arrow_schema, kind_of, map_batches, packed, read, rows_batch, unpacked
 from visitlens.llm.graph import components
 from visitlens.operators.bounds import broadcast_if
 
@@ -356,9 +356,9 @@ def classes(
 def one_of_each(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """The rows of one document of every class, that of the least id, with all their columns."""
     first = classes(spark, docs, **options).filter("first").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("doc_id").alias("_id"))
-    keyed = docs.select("*", *(key.alias(name) for key, name in zip(text_key(), ("_k1", "_k2"))))
+    keyed = packed(docs).select("*", *(key.alias(name) for key, name in zip(text_key(), ("_k1", "_k2"))))
     kept = keyed.join(first, ["_k1", "_k2"]).filter(F.col("doc_id").eqNullSafe(F.col("_id")))
-    return kept.dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
+    return unpacked(kept.dropDuplicates(["_k1", "_k2"]), docs.columns)
 
 
 def op4_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:

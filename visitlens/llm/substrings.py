@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import Shelf, arrow_schema, kind_of, map_batches, read, rows_batch
+from visitlens.llm.common import Shelf, arrow_schema, kind_of, map_batches, packed, read, rows_batch, unpacked
 from visitlens.llm.similarity import by_key, text_key
 
 LENGTH = 200
@@ -233,10 +233,11 @@ def test_by_windows(stretch: DataFrame, length: int, id_kind: str) -> DataFrame:
 
 
 def marked(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, task_windows: int = TASK_WINDOWS) -> DataFrame:
-    """The rows of ``docs`` with ``_raw`` (bytes), ``_cuts`` (intervals, overlapping, any order) and ``_whole``.
+    """The rows of ``docs``, :func:`packed`, with ``_raw`` (bytes), ``_cuts`` (intervals, overlapping, any order) and ``_whole``.
 
     ``_whole``: all bytes go, since the text has copies.
     """
+    docs = packed(docs)
     shelf = Shelf(spark, "substrings")
     id_kind = kind_of(docs, "doc_id")
     keys = docs.select("doc_id", *text_key())
@@ -339,7 +340,9 @@ def without_repeats(spark: SparkSession, docs: DataFrame, **options) -> DataFram
     A character whose bytes are cut in part goes whole. Rows left without text, of those that had some, go.
     """
     found = marked(spark, docs, **options)
-    place = docs.columns.index("text")
+    schema = packed(docs).schema
+    names = schema.names
+    place = names.index("text")
 
     def work(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -354,9 +357,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, **options) -> DataFram
             columns[place] = pa.array(texts, columns[place].type)
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
 
-    names = docs.columns
-    return map_batches(found, work, docs.schema)
+    return unpacked(map_batches(found, work, schema), docs.columns)
 
 
 def op2_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(marked(spark, read(spark, sf_dir, "documents")))
+    return report(marked(spark, read(spark, sf_dir, "documents").select("doc_id", "text")))
