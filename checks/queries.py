@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time
-from visitlens.operators import categories, details, filters, rollup, sampling, skew, stats, users
+from visitlens.operators import categories, details, filters, membership, rollup, sampling, skew, stats, users
 from visitlens.plans.keep import Kept
 from visitlens.plans.many import ManyTasksPlan
 from visitlens.plans.single import TaskPlan
@@ -106,9 +106,8 @@ def broadcast_user_join(spark, sf_dir):
     return _joined(users.broadcast_join_users(*_sessions_and_users(spark, sf_dir)))
 
 
-def _stored_sessions_and_users(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Sessions rolled up once, for joins that read them several times. The table is deleted when the driver ends."""
-    sessions, people = _sessions_and_users(spark, sf_dir)
+def _stored(spark: SparkSession) -> Kept:
+    """Tables for results that a query reads several times. They are deleted when the driver ends."""
     unset = spark.conf.get("spark.checkpoint.dir", None) is None
     kept = Kept(spark, f"file://{tempfile.mkdtemp(prefix='visitlens-')}" if unset else None)
 
@@ -117,7 +116,13 @@ def _stored_sessions_and_users(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
             kept.__exit__()
 
     atexit.register(end)
-    return kept.keep(sessions, "sessions"), people
+    return kept
+
+
+def _stored_sessions_and_users(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Sessions rolled up once, for joins that read them several times."""
+    sessions, people = _sessions_and_users(spark, sf_dir)
+    return _stored(spark).keep(sessions, "sessions"), people
 
 
 def salted_user_join(spark, sf_dir):
@@ -159,7 +164,8 @@ def filter_session(spark, sf_dir):
 
 def filtered_actions(spark, sf_dir):
     plan = task_plan(spark, sf_dir)
-    return _action_text(details.actions_of(plan.actions, plan.sessions))
+    sessions = _stored(spark).keep(plan.sessions.select("session_id"), "sessions")
+    return _action_text(membership.chosen_actions(plan.actions, sessions, sessions.count()))
 
 
 def visit_length_hist(spark, sf_dir):

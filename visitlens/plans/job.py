@@ -50,6 +50,8 @@ def run_tasks(
 
     with Kept(spark, work_folder) as kept:
         plan.sessions = kept.keep(plan.sessions, "sessions")
+        if isinstance(plan, TaskPlan):
+            plan.n_sessions = plan.sessions.count()
         write_by_task(plan.stat(), table_path(out, STAT, run), ids)
         plan.per_session = kept.keep(plan.per_session, "session_categories")
         top = kept.keep(plan.top_category(), "top_category")

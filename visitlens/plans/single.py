@@ -12,6 +12,7 @@ from visitlens.operators.categories import (
 )
 from visitlens.operators.details import details_of
 from visitlens.operators.filters import filter_sessions
+from visitlens.operators.membership import filter_of, fits, may_be_in
 from visitlens.operators.rollup import roll_up, session_lists
 from visitlens.operators.sampling import DEFAULT_SEED, DEFAULT_TOTAL, sample_sessions
 from visitlens.operators.scan import actions_between
@@ -29,9 +30,12 @@ class TaskPlan:
     """The lazy results of one task. Nothing runs until a result is written or collected.
 
     ``sessions`` and ``per_session`` (the filtered sessions, and their category counts) are read by
-    several results; a job replaces them by kept copies.
+    several results; a job replaces them by kept copies. Where it knows how many kept sessions there are
+    (``n_sessions``), actions of other sessions are filtered out where they are read.
     """
 
+    n_sessions: int | None = None
+
     def __init__(self, actions: DataFrame, users: DataFrame, task: Task,
                  total: int = DEFAULT_TOTAL, seed: int = DEFAULT_SEED):
         self.task, self.total, self.seed = task, total, seed
@@ -45,7 +49,10 @@ class TaskPlan:
     @property
     def per_session(self) -> DataFrame:
         if self._per_session is None:
-            self._per_session = only_sessions(session_categories(self.actions), self.sessions)
+            actions = self.actions
+            if self.n_sessions is not None and fits(self.n_sessions):
+                actions = may_be_in(actions, filter_of(self.sessions, self.n_sessions), self.n_sessions)
+            self._per_session = only_sessions(session_categories(actions), self.sessions)
         return self._per_session
 
     @per_session.setter
