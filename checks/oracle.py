@@ -266,6 +266,11 @@ _ON_BASE = {
       JOIN task_top_sessions t ON detail.task_id = t.task_id AND detail.session_id = t.session_id
       WHERE detail.task_id = 1""",
     "delivered_actions": f"SELECT {_ACTION_TEXT} FROM all_actions",
+    "maintained_stat": _stat("WHERE task_id = 1"),
+    "maintained_sample": f"{_SAMPLE} WHERE task_id = 1",
+    "maintained_sessions": """
+      SELECT session_id, user_id, start_time, step_length, visit_length FROM task_filtered WHERE task_id = 4""",
+    "rounds_top10_session": f"{_TOP_SESSION} WHERE task_id = 1",
     "multi_task_stat": _stat(""),
     "multi_task_sample": _SAMPLE,
     "multi_task_top10_category": _TOP_CATEGORY,

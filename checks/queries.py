@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.times import format_time
 from visitlens.operators import categories, details, filters, membership, rollup, sampling, skew, stats, users
+from visitlens.operators.threshold_rounds import Rounds
 from visitlens.plans.keep import Kept
+from visitlens.plans.maintained import MaintainedPlan, SessionDays
 from visitlens.plans.many import ManyTasksPlan
-from visitlens.plans.single import TaskPlan
-from visitlens.schemas import ACTION_COLUMNS
+from visitlens.plans.single import TaskPlan, for_task
+from visitlens.schemas import ACTION_COLUMNS, TOP_SESSION_COLUMNS
 from visitlens.session import apply_runtime_conf
 from visitlens.sources.derived import derived_actions, derived_tasks, derived_users
 from visitlens.sources.tables import read_actions
@@ -260,6 +262,41 @@ def delivered_actions(spark, sf_dir):
     return _action_text(read_actions(spark, "delivered_actions"))
 
 
+def _maintained(spark, sf_dir, task_id: int = 1) -> tuple[MaintainedPlan, Kept]:
+    """A task's plan over stored days. They are filled twice: from two thirds of the sessions of the first half of the
+    month, then with the rest, which comes late to days already stored."""
+    plan, kept = task_plan(spark, sf_dir, task_id), _stored(spark)
+    actions = derived_actions(spark, sf_dir)
+    early = (F.dayofmonth("date") <= 15) & (F.pmod(F.xxhash64("session_id"), F.lit(3)) > 0)
+    store = SessionDays(spark, kept.path("store"))
+    for part in (actions.where(early), actions.where(~early)):
+        part.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(kept.path("actions"))
+        store.refresh(spark.read.schema(plan.actions.schema).parquet(kept.path("actions")))
+    stored = spark.read.schema(plan.actions.schema).parquet(kept.path("actions"))
+    return MaintainedPlan(store, stored, derived_users(spark, sf_dir), plan.task, total=SAMPLE_TOTAL), kept
+
+
+def maintained_stat(spark, sf_dir):
+    return _maintained(spark, sf_dir)[0].stat()
+
+
+def maintained_sample(spark, sf_dir):
+    return _maintained(spark, sf_dir)[0].sample()
+
+
+def maintained_sessions(spark, sf_dir):
+    return _session_text(_maintained(spark, sf_dir, 4)[0].sessions.drop("n_days"))
+
+
+def rounds_top10_session(spark, sf_dir):
+    """The top sessions from stored days in rounds."""
+    plan, kept = _maintained(spark, sf_dir)
+    plan.sessions = kept.keep(plan.sessions, "sessions")
+    top = kept.keep(plan.top_category(), "top")
+    rounds = Rounds(plan.daily_clicks(), plan.sessions, plan.sessions.count(), top, kept.keep)
+    return for_task(rounds.top, plan.task.task_id).select(*TOP_SESSION_COLUMNS)
+
+
 def multi_task_stat(spark, sf_dir):
     return many_plan(spark, sf_dir).stat()
 
@@ -315,6 +352,10 @@ QUERIES: dict[str, Query] = {
     "task_params": task_params,
     "task_by_id": task_by_id,
     "delivered_actions": delivered_actions,
+    "maintained_stat": maintained_stat,
+    "maintained_sample": maintained_sample,
+    "maintained_sessions": maintained_sessions,
+    "rounds_top10_session": rounds_top10_session,
     "multi_task_stat": multi_task_stat,
     "multi_task_sample": multi_task_sample,
     "multi_task_top10_category": multi_task_top10_category,

@@ -11,6 +11,8 @@ is no filter: callers then go without, which changes no result.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ LANES = 8
 WORD_BITS = 64
 BITS_PER_ID = 12
 MOST_BLOCKS = 1 << 20
+KEY = ("session_id",)
 _WORDS = [f"_word{lane}" for lane in range(LANES)]
 
 
@@ -33,28 +36,28 @@ def fits(n_ids: int) -> bool:
     return blocks_for(n_ids) <= MOST_BLOCKS
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks))
+def _block(keys: Sequence[str], blocks: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(blocks))
 
 
-def _bits(key: Column) -> list[Column]:
+def _bits(keys: Sequence[str]) -> list[Column]:
     """One set bit for every word of the key's block, from six bits each of a second hash."""
-    other = F.xxhash64(key, F.lit(1))
+    other = F.xxhash64(*keys, F.lit(1))
     return [
         F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(other, 6 * lane).bitwiseAND(F.lit(WORD_BITS - 1)).cast("int"))
         for lane in range(LANES)
     ]
 
 
-def filter_of(ids: DataFrame, n_ids: int, key: str = "session_id") -> DataFrame:
-    """The blocks of a filter of the ``n_ids`` values of ``key`` (an upper bound; more only let more others
-    pass): a row for every block that has one. Null is no id."""
-    ids = ids.where(F.col(key).isNotNull())
-    bits = ids.select(_block(F.col(key), blocks_for(n_ids)).alias("_block"), *[b.alias(w) for b, w in zip(_bits(F.col(key)), _WORDS)])
+def filter_of(ids: DataFrame, n_ids: int, keys: Sequence[str] = KEY) -> DataFrame:
+    """The blocks of a filter of the ``n_ids`` values of ``keys`` (an upper bound; more only let more others
+    pass): a row for every block that has one. A null is no id. Key columns have the same types on both sides."""
+    ids = ids.dropna(subset=list(keys))
+    bits = ids.select(_block(keys, blocks_for(n_ids)).alias("_block"), *[b.alias(w) for b, w in zip(_bits(keys), _WORDS)])
     return bits.groupBy("_block").agg(*[F.bit_or(w).alias(w) for w in _WORDS])
 
 
-def may_be_in(rows: DataFrame, blocks: DataFrame, n_ids: int, key: str = "session_id") -> DataFrame:
+def may_be_in(rows: DataFrame, blocks: DataFrame, n_ids: int, keys: Sequence[str] = KEY) -> DataFrame:
     """``rows`` without most of those whose key is not in the filter, none of the others dropped.
 
     A broadcast join on the block number, which is below MOST_BLOCKS: the rows are not shuffled.
@@ -62,8 +65,8 @@ def may_be_in(rows: DataFrame, blocks: DataFrame, n_ids: int, key: str = "sessio
     if not fits(n_ids):
         return rows
     found = F.broadcast(blocks.withColumnRenamed("_block", "_of"))
-    has_all = _block(F.col(key), blocks_for(n_ids)) == F.col("_of")
-    for bit, word in zip(_bits(F.col(key)), _WORDS):
+    has_all = _block(keys, blocks_for(n_ids)) == F.col("_of")
+    for bit, word in zip(_bits(keys), _WORDS):
         has_all &= F.col(word).bitwiseAND(bit) != 0
     return rows.join(found, has_all, "left_semi")
 

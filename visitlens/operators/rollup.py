@@ -41,14 +41,14 @@ def _any_of(column: Column, values: Sequence) -> Column:
     return F.coalesce(F.bool_or(column.isin(list(values))), F.lit(False))
 
 
-def roll_up(actions: DataFrame, task: Task | None = None) -> DataFrame:
-    """One row per session: user_id, start_time, end_time, step_length, visit_length, hit flags.
+def roll_up(actions: DataFrame, task: Task | None = None, keys: Sequence[str] = ("session_id",)) -> DataFrame:
+    """One row per session (or other ``keys``): user_id, start_time, end_time, step_length, visit_length, hit flags.
 
     Rows without a readable time count as steps but not for start and end.
     """
     flags = hit_flags(task) if task is not None else []
     return (
-        actions.groupBy("session_id")
+        actions.groupBy(*keys)
         .agg(*_measures(), *flags)
         .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time")))
     )

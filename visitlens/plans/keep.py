@@ -38,6 +38,12 @@ class Kept:
     def __enter__(self) -> Kept:
         return self
 
+    def path(self, name: str) -> str:
+        """A place of that name in the folder, for a table the caller writes."""
+        if self._folder is None:
+            raise ValueError("no shared folder is set")
+        return f"{self._folder}/{name}"
+
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         if self._folder is None:
             df = df.persist(StorageLevel.MEMORY_AND_DISK)

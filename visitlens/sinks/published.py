@@ -81,11 +81,12 @@ class Manifests:
             stream.close()
         return True
 
-    def publish(self, run: str, task_ids: Sequence[int]) -> int:
-        """From now on these tasks' results are those of ``run``; other tasks stay as they are."""
+    def publish(self, run: str, task_ids: Sequence[int], gone: Sequence[int] = ()) -> int:
+        """From now on these tasks' results are those of ``run``; those of ``gone`` have none; others stay as they are."""
         for _ in range(ATTEMPTS):
             version = next(iter(self.versions()), 0) + 1
-            if self.create(version, self.last() | {int(i): run for i in task_ids}):
+            stay = {task: of for task, of in self.last().items() if task not in gone}
+            if self.create(version, stay | {int(i): run for i in task_ids}):
                 return version
         raise RuntimeError(f"other runs published {ATTEMPTS} times meanwhile")
 
