@@ -45,3 +45,27 @@ def test_held_out_accuracy(spark):
     found = language.op9_hyperdimensional_language(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id")
     share = found.filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).collect()[0][0]
     assert share > 0.97
+
+
+def test_slices_of_long_texts_count_every_gram(monkeypatch):
+    texts = ["", prose(1, 400), "ein kurzer satz", prose(2, 900), "\u6c34" * 50]
+    whole = language.bundles(texts, language.Vectors(64, 3, 7), 3)
+    monkeypatch.setattr(language, "SLICE_GRAMS", 37)
+    assert np.array_equal(whole, language.bundles(texts, language.Vectors(64, 3, 7), 3))
+    monkeypatch.setattr(language, "CHUNK_GRAMS", 1)
+    assert np.array_equal(whole, language.bundles(texts, language.Vectors(64, 3, 7), 3))
+
+
+def test_memory_of_a_text_of_new_letters_is_bounded():
+    """The counts of 64 texts with 100,000 n-grams of their own would take 51 MB a kind; a slice of them takes 4."""
+    import tracemalloc
+
+    letters = np.random.default_rng(3).integers(0x4E00, 0x9FA5, 100_000)
+    texts = ["".join(map(chr, letters)), *["short text"] * 63]
+    vectors = language.Vectors(16, 3, 7)
+    tracemalloc.start()
+    try:
+        assert language.bundles(texts, vectors, 3).shape == (64, 16)
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()

@@ -29,6 +29,7 @@ UNKNOWN = "und"
 CACHED_GRAMS = 100_000
 CHUNK_DOCS = 64
 CHUNK_GRAMS = 300_000
+SLICE_GRAMS = 8192
 SEED = 7
 
 
@@ -110,14 +111,15 @@ class Vectors:
 
 
 def chunks(texts: list[str], gram: int) -> Iterator[list]:
-    """N-grams of some texts at a time: at most CHUNK_DOCS, and no more once CHUNK_GRAMS are reached."""
+    """N-grams of some texts at a time: at most CHUNK_DOCS texts, and CHUNK_GRAMS where one has not more."""
     codes, held = [], 0
     for text in texts:
-        codes.append(gram_codes(text, gram))
-        held += len(codes[-1])
-        if len(codes) == CHUNK_DOCS or held > CHUNK_GRAMS:
+        found = gram_codes(text, gram)
+        if codes and (len(codes) == CHUNK_DOCS or held + len(found) > CHUNK_GRAMS):
             yield codes
             codes, held = [], 0
+        codes.append(found)
+        held += len(found)
     if codes:
         yield codes
 
@@ -131,11 +133,14 @@ def bundles(texts: list, vectors: Vectors, gram: int):
         owner = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
         grams, place = np.unique(np.concatenate(codes), return_inverse=True)
         sums = np.zeros((len(codes), vectors._dimensions), np.float32)
-        # Bounded slices of the n-grams, however many a long text brings.
-        counts = np.bincount(owner * max(1, len(grams)) + place, minlength=len(codes) * max(1, len(grams)))
-        counts = counts.reshape(len(codes), max(1, len(grams))).astype(np.float32)
-        for part in range(0, len(grams), 8192):
-            sums += counts[:, part:part + 8192] @ vectors.of(grams[part:part + 8192])
+        # Slices of SLICE_GRAMS n-grams: neither their counts nor their vectors grow with a long text.
+        order = np.argsort(place, kind="stable") if len(grams) > SLICE_GRAMS else None
+        ends = None if order is None else np.searchsorted(place[order], np.arange(0, len(grams) + SLICE_GRAMS, SLICE_GRAMS))
+        for at, part in enumerate(range(0, len(grams), SLICE_GRAMS)):
+            width = min(SLICE_GRAMS, len(grams) - part)
+            here = slice(None) if order is None else order[ends[at]:ends[at + 1]]
+            counts = np.bincount(owner[here] * width + place[here] - part, minlength=len(codes) * width)
+            sums += counts.reshape(len(codes), width).astype(np.float32) @ vectors.of(grams[part:part + width])
         length = np.linalg.norm(sums, axis=1, keepdims=True)
         out.append(np.where(length > 0, sums / np.maximum(length, 1e-30), 0))
     return np.concatenate(out) if out else np.zeros((0, vectors._dimensions), np.float32)
