@@ -1,8 +1,10 @@
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.rows import documents, edge_rows, labels
 from visitlens.llm import quality
@@ -56,6 +58,32 @@ def test_threshold_keeps_the_good():
     assert quality.calibrate(scores, np.ones(6)) == 2.0 == quality.calibrate(np.zeros(0), np.zeros(0))
 
 
+@pytest.mark.parametrize("good_loss", [0.0, 0.1, 0.5])
+def test_threshold_in_buckets_equals_the_plain_one(spark, good_loss):
+    rng = np.random.default_rng(int(good_loss * 10))
+    known = rng.integers(0, 2, 400)
+    for scores in (rng.integers(0, 40, 400) / 40 * (1 - known * 0.3), 0.5 + rng.random(400) / quality.BUCKETS / 50, np.full(400, 0.4)):
+        rows = spark.createDataFrame([(float(s), int(k)) for s, k in zip(scores, known)], "score double, label int")
+        levels = rows.groupBy("score").agg(F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad"))
+        assert quality.calibrated(levels, good_loss) == quality.calibrate(scores, known, good_loss)
+        assert quality.calibrated(levels.withColumn("bad", F.lit(0)), good_loss) == 2.0
+    assert quality.calibrated(levels.limit(0), good_loss) == 2.0
+
+
+def test_threshold_comes_from_all_labelled_documents(spark):
+    rng = np.random.default_rng(3)
+    words = np.array(["w" * n + str(i) for i, n in enumerate(rng.integers(1, 9, 300))])
+    bad = rng.random(12_000) < 0.3
+    rows = [(i, " ".join(rng.choice(words[:60 if b else 300], rng.integers(55, 75))) + "!?#" * int(rng.integers(0, 4 + 3 * b))) for i, b in enumerate(bad)]
+    docs, known = documents(spark, rows).repartition(4), labels(spark, [(i, int(not b), 0) for i, b in enumerate(bad)])
+    rules = quality.Rules.learn(docs, known, trees=20, subsample=64, good_loss=0.05)
+    judged = rules.judge(docs).filter("not base_failed and crc32(cast(doc_id as string)) % 5 != 0").select("doc_id", "anomaly", "kept").toPandas()
+    assert len(judged) > 9_000
+    scores, good = judged["anomaly"].to_numpy(), ~bad[judged["doc_id"]]
+    assert 0 < rules.threshold < 1 and rules.threshold == quality.calibrate(scores, good.astype(int), 0.05)
+    assert (judged["kept"].to_numpy() == (scores < rules.threshold)).all()
+
+
 def test_awkward_rows(spark):
     docs = documents(spark, edge_rows())
     known = labels(spark, [(1, 1, 0), (1, 1, 0), (7, 0, 0), (None, 1, 1), (9, None, None), (77, 1, 0)])

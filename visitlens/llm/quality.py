@@ -1,10 +1,10 @@
 """Quality rules with an isolation forest over rule statistics.
 
 Every document gets its rule statistics. Isolation trees split random subsamples of them at random;
-documents that are isolated after few splits are anomalous. The forest learns from a bounded sample
-of documents without labels; the threshold on its score is calibrated on a bounded sample of
-labelled ones: the greatest gain of rejected bad over rejected good documents, while at most
-``good_loss`` of the good ones are rejected.
+documents that are isolated after few splits are anomalous; the subsamples are drawn from all documents that
+are not held out, without labels. The threshold on the score is calibrated on every labelled one of
+them: the greatest gain of rejected bad over rejected good documents, while at most ``good_loss`` of
+the good ones are rejected.
 
 Defined results: a null or empty text has no words and fails the base rules; without labels, or with
 labels of one kind, the threshold is one that no score reaches; repeated rows are judged each for
@@ -16,18 +16,17 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import arrow_schema, held_out, kind_of, labelled_sample, map_batches, read, rows_batch, sample_by_hash
+from visitlens.llm.common import Shelf, arrow_schema, held_out, kind_of, map_batches, one_label, read, rows_batch, sample_by_hash
 
-FOREST_SAMPLE = 8192
-LABEL_SAMPLE = 8192
 TREES = 200
 TREE_SAMPLE = 512
 GOOD_LOSS = 0.02
 MIN_WORDS = 50
 SEED = 11
+BUCKETS = 1 << 14  # stretches of scores that are counted before the scores in them are ranked
 
 SEPARATORS = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -153,6 +152,13 @@ def anomaly(rows, trees: list[list[tuple]], subsample: int):
     return 2.0 ** -(total / len(trees) / max(mean_path(subsample), 1e-9))
 
 
+def features_of(batch):
+    """The features of an Arrow batch, a row for each document."""
+    import numpy as np
+
+    return np.column_stack([batch[name].to_numpy(zero_copy_only=False) for name in FEATURES]).astype(np.float64)
+
+
 def calibrate(scores, labels, good_loss: float = GOOD_LOSS) -> float:
     """The threshold above which documents are rejected; 2 (never) where nothing is gained."""
     import numpy as np
@@ -168,6 +174,25 @@ def calibrate(scores, labels, good_loss: float = GOOD_LOSS) -> float:
     return float(at[best]) if gain[best] > 0 else 2.0
 
 
+def calibrated(levels: DataFrame, good_loss: float = GOOD_LOSS) -> float:
+    """:func:`calibrate` over any number of scores: ``levels`` holds every score once, with its ``good`` and ``bad`` documents."""
+    levels = levels.withColumn("bucket", F.floor(F.col("score") * BUCKETS))
+    sums = levels.groupBy("bucket").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()  # at most BUCKETS + 1
+    before, n_good, n_bad = [], 0, 0
+    for row in sorted(sums):
+        before.append((row["bucket"], n_good, n_bad))
+        n_good, n_bad = n_good + row["good"], n_bad + row["bad"]
+    if not n_good or not n_bad:
+        return 2.0
+    known = levels.sparkSession.createDataFrame(before, "bucket long, good_before long, bad_before long")
+    lower = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    reached = lambda c, n: 1 - (F.coalesce(F.sum(c).over(lower), F.lit(0)) + F.col(f"{c}_before")) / F.lit(n)
+    found = levels.join(F.broadcast(known), "bucket").select("score", reached("good", n_good).alias("lost"), reached("bad", n_bad).alias("gained"))
+    best = found.filter(F.col("lost") <= good_loss).agg(
+        F.max(F.struct((F.col("gained") - F.col("lost")).alias("gain"), (-F.col("score")).alias("low"))).alias("best")).collect()[0]["best"]
+    return -best["low"] if best and best["gain"] > 0 else 2.0
+
+
 class Rules:
     """A forest with its threshold."""
 
@@ -176,21 +201,32 @@ class Rules:
 
     @classmethod
     def learn(
-        cls, docs: DataFrame, labels: DataFrame, forest_sample: int = FOREST_SAMPLE, label_sample: int = LABEL_SAMPLE,
-        trees: int = TREES, subsample: int = TREE_SAMPLE, good_loss: float = GOOD_LOSS, seed: int = SEED,
+        cls, docs: DataFrame, labels: DataFrame, trees: int = TREES, subsample: int = TREE_SAMPLE, good_loss: float = GOOD_LOSS,
+        seed: int = SEED,
     ) -> Rules:
-        """Learn from bounded samples of documents that are not held out."""
+        """Learn from the documents that are not held out: as many rows as the trees hold go to the driver, all are scored."""
         import numpy as np
 
+        shelf = Shelf(docs.sparkSession, "quality")
         learning = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & ~held_out())
-        rows = statistics(sample_by_hash(learning, forest_sample, seed)).filter("not base_failed").toPandas()
-        rows = rows.sort_values("doc_id")
+        learning = shelf.keep(statistics(learning).filter("not base_failed").select("doc_id", *FEATURES), "statistics")
+        rows = sample_by_hash(learning, trees * subsample, seed).toPandas().sort_values(["doc_id", *FEATURES])
         grown = forest(rows[list(FEATURES)].to_numpy(dtype=np.float64), trees, subsample, seed)
         size = min(subsample, len(rows))
-        labelled = labelled_sample(docs, labels, "quality", label_sample, seed + 1)
-        known = statistics(labelled, "label").filter("not base_failed").toPandas()
-        scores = anomaly(known[list(FEATURES)].to_numpy(dtype=np.float64), grown, size)
-        return cls(grown, size, calibrate(scores, known["label"].to_numpy(), good_loss))
+
+        def score(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch["label"], pa.array(anomaly(features_of(batch), grown, size))], ["label", "score"])
+
+        labelled = learning.join(one_label(labels, "quality"), "doc_id").select("label", *FEATURES)
+        levels = map_batches(labelled, score, "label int, score double").groupBy("score").agg(
+            F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad"))
+        levels = shelf.keep(levels, "levels")
+        threshold = calibrated(levels, good_loss)
+        shelf.close()
+        return cls(grown, size, threshold)
 
     def judge(self, docs: DataFrame) -> DataFrame:
         """The counts, base_failed, kept, and the anomaly score with the threshold it is held against."""
@@ -203,8 +239,7 @@ class Rules:
             import pyarrow as pa
 
             for batch in batches:
-                rows = np.column_stack([batch[name].to_numpy(zero_copy_only=False) for name in FEATURES]).astype(np.float64)
-                value = anomaly(rows, trees, subsample)
+                value = anomaly(features_of(batch), trees, subsample)
                 failed = batch["base_failed"].to_numpy(zero_copy_only=False).astype(bool)
                 counts = [batch[name.split()[0]] for name in COUNTS.split(", ")]
                 yield pa.RecordBatch.from_arrays(
