@@ -66,6 +66,17 @@ def test_made_tables(spark, min_df, tile, width):
     assert got == brute(rows, min_df, 3)
 
 
+def test_texts_are_kept_as_their_terms(spark):
+    chars = "".join(map(chr, range(128))) + "ÀÉßİſK\u0130\u212a\u2028\xa0\x85日😀"
+    texts = [chars, chars[::-1], "", " ", "-", "A", " Ab,  cD ", "".join(f"a{c}B" for c in chars), "İstanbul İİ", "x" * 70_000 + " Y"]
+    rows = spark.createDataFrame([(3, i, t) for i, t in enumerate(texts)], "language int, number int, text string")
+    cleaned = divergence.only_terms(rows)
+    got = {r["number"]: r["terms"] for r in cleaned.select("number", divergence.terms_of(F.col("text")).alias("terms")).collect()}
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    assert got == {i: TERM.findall(t.translate(lower)) for i, t in enumerate(texts)}
+    assert [r["number"] for r in cleaned.where(F.length("text") == 0).collect()] == [2]
+
+
 def test_empty_table(spark):
     assert divergence.audit(spark, table(spark, [])).count() == 0
 
