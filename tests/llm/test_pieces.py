@@ -120,3 +120,36 @@ def test_viterbi_equals_brute_force(spark, vocabulary):
     df = spark.createDataFrame([(w,) for w in words], "word string")
     got = dict(pieces.encoded_words(df, ["word"], small, "viterbi").collect())
     assert {w: list(ids) for w, ids in got.items()} == {w: best(w)[1] for w in words}
+
+
+def test_nothing_is_shuffled_or_kept(spark, vocabulary, capsys, monkeypatch):
+    monkeypatch.setattr("visitlens.llm.common.Shelf.keep", None)
+    plan = pieces.encoded_blocks(documents(spark, [(i, f"a word {i}") for i in range(50)]), vocabulary)
+    plan.explain()
+    text = capsys.readouterr().out
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text and "SinglePartition" not in text
+    assert plan.count() == 50
+
+
+def test_small_blocks_and_folds_equal_the_library(spark, model, vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", 1)  # a block of every slice of documents
+    monkeypatch.setattr(pieces, "BLOCK_STEP", 7)
+    monkeypatch.setattr(pieces, "FOLDED_EDGES", 0)  # a fold after every batch of edges
+    long = "ab" * 70
+    rows = [(i, None if i % 50 == 0 else f"the {i * 7919} wintering{i % 13}, {long[:i % 140]} \U0001f600{chr(0x3040 + i % 90)}é") for i in range(2500)]
+    got = pieces.encode(documents(spark, rows).coalesce(1), vocabulary).collect()
+    assert sorted((r["doc_id"], list(r["ids"])) for r in got) == [(i, model.encode(t or "")) for i, t in rows]
+
+
+def test_folds_by_arrays_and_by_aggregate_agree(spark, vocabulary):
+    words = ["▁anonly", "erenesnd", "▁", "▁▁▁", "aaaaaaaaaaaaaaaaaaa", "q" * 60, "日", "\U0001f600", "▁internationalisation"]
+    known = dict(pieces.encoded_words(spark.createDataFrame([(w,) for w in words], "word string"), ["word"], vocabulary).collect())
+    table = spark.createDataFrame(list(enumerate(words)), "at int, word string").selectExpr("at", "word", "cast(null as binary) as rest")
+    found = pieces.packed_edges(table.coalesce(1).sortWithinPartitions("at"), vocabulary).select("span", "id").toArrow()
+    import numpy as np
+
+    scores = np.zeros(1 + max(i for i, _ in vocabulary.pieces.values()))
+    for i, score in vocabulary.pieces.values():
+        scores[i] = score
+    sizes, ids = pieces.merge_all(*(c.combine_chunks().to_numpy() for c in found.columns), vocabulary, scores)
+    assert [i.tolist() for i in np.split(ids, np.cumsum(sizes)[:-1])] == [list(known[w]) for w in words]
